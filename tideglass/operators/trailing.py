@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Prices are summed as decimals, so that the result doesn't depend on the order of rows.
+PRICE = "decimal(20,8)"
+
+
 def live_windows(changes: DataFrame) -> DataFrame:
     """symbol, window_start, volume, avg_price of the windows whose `diff` sums to 1, after dropping rows equal in all columns.
 
@@ -25,7 +29,7 @@ def live_windows(changes: DataFrame) -> DataFrame:
             F.sum("diff").alias("standing"),
             F.sum(F.col("diff") * F.coalesce("total_volume", F.lit(0))).alias("volume"),
             F.sum(F.when(priced, F.col("diff"))).alias("priced"),
-            F.sum(F.when(priced, F.col("diff") * F.col("avg_price"))).alias("price"),
+            F.sum(F.when(priced, F.col("diff") * F.col("avg_price").cast(PRICE))).alias("price"),
         )
     )
     return net.where(F.col("standing") == 1).select("symbol", "window_start", "volume", F.when(F.col("priced") == 1, F.col("price")).alias("avg_price"))
@@ -49,6 +53,6 @@ def trailing_days(windows: DataFrame, periods: tuple[int, ...] = (7, 30)) -> Dat
         out += [
             volume.alias(f"volume_{n}d"),
             (volume / days).alias(f"avg_volume_{n}d"),
-            F.when(prices > 0, F.sum(F.coalesce("price_sum", F.lit(0.0))).over(w) / prices).alias(f"avg_price_{n}d"),
+            F.when(prices > 0, F.sum(F.coalesce("price_sum", F.lit(0).cast(PRICE))).over(w).cast("double") / prices).alias(f"avg_price_{n}d"),
         ]
     return dense.select(*out)

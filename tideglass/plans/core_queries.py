@@ -69,14 +69,11 @@ def p4_zones(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_trailing(spark: SparkSession, folder: str) -> DataFrame:
     """Totals and averages of the trailing 7 and 30 days of each symbol and day."""
-    out = trailing.trailing_days(trailing.live_windows(table(spark, folder, "rolling_features")))
-    rounded = {c: F.round(c, 4) for c in out.columns if c.startswith("avg_")}
-    return out.withColumns(rounded)
+    return trailing.trailing_days(trailing.live_windows(table(spark, folder, "rolling_features")))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    days = trailing.trailing_days(trailing.live_windows(table(spark, folder, "rolling_features")))
-    return days.where((F.col("volume_7d") == 0) & (F.col("volume_30d") != 0)).select("symbol", "day_utc")
+    return p5_trailing(spark, folder).where((F.col("volume_7d") == 0) & (F.col("volume_30d") != 0)).select("symbol", "day_utc")
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,9 +139,9 @@ _GOOD = "price IS NOT NULL AND NOT isnan(price)"
 
 _LIVE = """
   live AS (SELECT symbol, window_start, sum(diff * coalesce(total_volume, 0)) AS volume,
-      CASE WHEN sum(diff) FILTER (avg_price IS NOT NULL AND NOT isnan(avg_price)) = 1 THEN sum(diff * avg_price) FILTER (avg_price IS NOT NULL AND NOT isnan(avg_price)) END AS price
+      CASE WHEN sum(diff) FILTER (avg_price IS NOT NULL AND NOT isnan(avg_price)) = 1 THEN sum(diff * CAST(avg_price AS DECIMAL(20,8))) FILTER (avg_price IS NOT NULL AND NOT isnan(avg_price)) END AS price
     FROM (SELECT DISTINCT * FROM rolling_features) WHERE symbol IS NOT NULL AND window_start IS NOT NULL GROUP BY 1, 2 HAVING sum(diff) = 1),
-  daily AS (SELECT symbol, CAST(epoch(window_start) // 86400 AS BIGINT) AS day, sum(volume) AS volume, count(*) AS n_windows, sum(price) AS prices, count(price) AS n_prices FROM live GROUP BY 1, 2),
+  daily AS (SELECT symbol, CAST(floor(epoch(window_start) / 86400) AS BIGINT) AS day, sum(volume) AS volume, count(*) AS n_windows, sum(price) AS prices, count(price) AS n_prices FROM live GROUP BY 1, 2),
   days AS (SELECT symbol, unnest(generate_series(min(day), max(day))) AS day FROM daily GROUP BY 1),
   dense AS (SELECT symbol, day, coalesce(volume, 0) AS volume, coalesce(n_windows, 0) AS n_windows, coalesce(prices, 0) AS prices, coalesce(n_prices, 0) AS n_prices FROM days LEFT JOIN daily USING (symbol, day)),
   rolled AS (SELECT *, strftime(DATE '1970-01-01' + CAST(day AS INTEGER), '%Y-%m-%d') AS day_utc,
@@ -195,8 +192,8 @@ FROM judged GROUP BY partition, period_start""",
     "p4_zones": "SELECT source, CASE zone_name WHEN 'Europe/Paris' THEN 'Europe/Berlin' ELSE zone_name END AS zone_name FROM news_sources WHERE source IN (SELECT source FROM news)",
     "p5_found": f"WITH {_LIVE} SELECT symbol, day_utc FROM rolled WHERE v7 = 0 AND v30 <> 0",
     "p5_trailing": f"""WITH {_LIVE} SELECT symbol, day_utc, CAST(volume AS BIGINT) AS volume, n_windows,
-  CAST(v7 AS BIGINT) AS volume_7d, round(v7 / d7, 4) AS avg_volume_7d, round(CASE WHEN n7 > 0 THEN p7 / n7 END, 4) AS avg_price_7d,
-  CAST(v30 AS BIGINT) AS volume_30d, round(v30 / d30, 4) AS avg_volume_30d, round(CASE WHEN n30 > 0 THEN p30 / n30 END, 4) AS avg_price_30d FROM rolled""",
+  CAST(v7 AS BIGINT) AS volume_7d, CAST(v7 AS DOUBLE) / d7 AS avg_volume_7d, CASE WHEN n7 > 0 THEN CAST(p7 AS DOUBLE) / n7 END AS avg_price_7d,
+  CAST(v30 AS BIGINT) AS volume_30d, CAST(v30 AS DOUBLE) / d30 AS avg_volume_30d, CASE WHEN n30 > 0 THEN CAST(p30 AS DOUBLE) / n30 END AS avg_price_30d FROM rolled""",
     "p7_found": f"""WITH own AS (SELECT *, filing_metadata.source_file AS source_file FROM form4 QUALIFY row_number() OVER (PARTITION BY filing_metadata.source_file ORDER BY parsed_timestamp DESC) = 1),
   raw AS (SELECT *, json_extract_string(p, '$.filing_metadata.source_file') AS source_file FROM (SELECT TRY_CAST(payload AS JSON) AS p FROM form4_raw WHERE json_valid(payload) AND payload LIKE '{{%') QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY CAST(p AS VARCHAR)) = 1),
   more AS (SELECT p, source_file FROM raw WHERE source_file IS NOT NULL AND source_file NOT IN (SELECT source_file FROM own))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideglass.llm import encode, nearest, packing
+from tideglass.llm import encode, nearest, packing, residue
 from tideglass.operators.ticks import clean_symbol, usable_ticks
 from tideglass.operators.zones import normal_news
 from tideglass.sources.tables import table
@@ -32,5 +32,14 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(encode.token_counts(table(spark, folder, "documents")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p6_found, p8_ids, p9_containers)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.residue_scores(table(spark, folder, "documents")).where("is_residue").select("doc_id")
+
+
+def p10_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents without those that are residue."""
+    return residue.without_residue(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p6_found, p8_ids, p9_containers, p10_found, p10_corpus)}
 ORACLE: dict[str, str] = {}

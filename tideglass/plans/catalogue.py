@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tideglass.plans import core_queries
+from tideglass.plans import core_queries, filings, market
 
-QUERIES = {**core_queries.QUERIES}
-ORACLE = {**core_queries.ORACLE}
+_PARTS = (core_queries, market, filings)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}

@@ -26,13 +26,13 @@ class Table:
     columns: list[tuple[str, tuple[str, ...]]] = field(default_factory=list)
 
 
-def analyse(schema: T.StructType, root: str = "record") -> list[Table]:
+def analyse(schema: T.StructType, root: str = "record", key: str = "") -> list[Table]:
     """The tables of a record type. Names join the fields' names with `_`; where two columns of a table would have one name, the
-    later one gets a number. An array of arrays makes a table in a table."""
+    later one (or one with the key's name) gets a number. An array of arrays makes a table in a table."""
     tables: list[Table] = []
 
     def add(t: Table, name: str, path: tuple[str, ...]) -> None:
-        taken = {n.lower() for n, _ in t.columns} | {"position", *(f"position_{i}" for i in range(len(t.arrays)))}
+        taken = {n.lower() for n, _ in t.columns} | {key.lower(), "position", *(f"position_{i}" for i in range(len(t.arrays)))}
         free, k = name, 2
         while free.lower() in taken:
             free, k = f"{name}_{k}", k + 1
@@ -70,7 +70,7 @@ def inline(records: DataFrame, key: str, record: str, root: str = "record") -> d
     A child's `position` counts from 0 with null elements, which make no row; `position_i` are the positions above it. Null and
     empty arrays and null structs make no child rows; a null record still makes its row of the root table."""
     out = {}
-    for t in analyse(records.schema[record].dataType, root):
+    for t in analyse(records.schema[record].dataType, root, key):
         rows, at, places = records, F.col(record), []
         for depth, path in enumerate(t.arrays):
             place = f"__p{depth}"

@@ -37,8 +37,9 @@ def k_slack(events: DataFrame, key: str, event: str, arrival: str, slack_ms: int
     """events with period_start, high_mark and outcome: `on_time` where the row's period was still open on arrival,
     `corrects` where it had ended at or before the high mark, `too_late` where the row is more than `slack_ms` behind it.
 
-    Rows whose key, event or arrival is null take no part. Rows of one instant don't see each other."""
-    known = events.where(F.col(key).isNotNull() & F.col(event).isNotNull() & F.col(arrival).isNotNull())
+    Rows whose key, event or arrival is null take no part. Rows of one instant don't see each other. Columns of events with the
+    names of the new ones are replaced."""
+    known = events.drop("high_mark", "period_start", "outcome").where(F.col(key).isNotNull() & F.col(event).isNotNull() & F.col(arrival).isNotNull())
     marks = high_marks(known.select(key, event, arrival), key, event, arrival)
     start = period_start(F.col(event), period_ms)
     ended = start + period_ms <= F.col("high_mark")

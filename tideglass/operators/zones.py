@@ -31,14 +31,15 @@ def estimate_zones(local_times: DataFrame, source: str, local: str, arrival_ms:
     candidate."""
     c = F.col
     zones = F.array_distinct(F.array_compact(F.concat(F.array(*(F.lit(z) for z in candidates)), F.array(c(declared)))))
-    tried = local_times.where(c(local).isNotNull() & c(source).isNotNull()).select("*", F.posexplode(zones).alias("turn", "zone_name"))
-    wait = c(arrival_ms) * 1000 - to_utc(c(local), c("zone_name"))
+    needed = (c(source).alias("source"), c(local).alias("local"), c(arrival_ms).alias("arrival"), c(declared).alias("declared"))
+    tried = local_times.where(c(local).isNotNull() & c(source).isNotNull()).select(*needed, F.posexplode(zones).alias("turn", "zone_name"))
+    wait = c("arrival") * 1000 - to_utc(c("local"), c("zone_name"))
     cost = F.when(wait < 0, 1.0).otherwise(F.least(wait / DAY_MICROS, F.lit(1.0)) * 0.5)
-    costs = tried.groupBy(source, "zone_name").agg(F.min("turn").alias("turn"), F.sum(F.coalesce(cost, F.lit(0.0))).alias("cost"), F.count(F.lit(1)).alias("n"), F.max(F.coalesce(c(declared) == c("zone_name"), F.lit(False))).alias("said"))
+    costs = tried.groupBy("source", "zone_name").agg(F.min("turn").alias("turn"), F.sum(F.coalesce(cost, F.lit(0.0))).alias("cost"), F.count(F.lit(1)).alias("n"), F.max(F.coalesce(c("declared") == c("zone_name"), F.lit(False))).alias("said"))
     # A source has one row per candidate here.
     slack = F.when(c("said"), F.greatest(F.lit(strong), c("n") * 0.1)).otherwise(0.0)
-    best = Window.partitionBy(source).orderBy(c("cost") - slack, F.desc("said"), "turn", "zone_name")
-    return costs.withColumn("place", F.row_number().over(best)).where(c("place") == 1).select(source, "zone_name")
+    best = Window.partitionBy("source").orderBy(c("cost") - slack, F.desc("said"), "turn", "zone_name")
+    return costs.withColumn("place", F.row_number().over(best)).where(c("place") == 1).select("source", "zone_name")
 
 
 def news_times(news: DataFrame, sources: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tideglass.plans import core_queries, filings, market
+from tideglass.plans import core_queries, filings, market, streams
 
-_PARTS = (core_queries, market, filings)
+_PARTS = (core_queries, market, filings, streams)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}

@@ -10,7 +10,7 @@ which one occurrence in a window that isn't quoting it is enough.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,9 +25,11 @@ from tideglass.session import materialise
 
 WINDOW = 40
 #: Share of a window's weight, and of a text's content, from which they count as residue.
-COVERED, EXCLUDED = 0.65, 0.6
-#: Share of a window's words that an exemplar must have to be scored, and exemplars beyond which a word isn't telling.
-RETRIEVED, COMMON = 0.4, 6
+COVERED, EXCLUDED = 0.65, 0.5
+#: Share of a window's words that an exemplar must have to be scored.
+RETRIEVED = 0.4
+# Words that don't retrieve.
+COMMON = frozenset("the a an of to in on and or for with is are was be by at from it its this that as has have not no your you we our which who i s t d l la le les de des du un une el los las en y que por para der die das und ist in zu den".split())
 SLOT = "\ue000"
 
 _WORD = regex.compile(r"\p{L}+")
@@ -104,17 +106,15 @@ class Index:
         for i, bag in enumerate(self.bags):
             for w in bag:
                 postings[w].append(i)
-        self.postings = {w: ids for w, ids in postings.items() if len(ids) <= COMMON and len(w) > 1}
-        self.postings |= {w: [i for i in ids if i < self.residue] for w, ids in postings.items() if w in SHORT_NOTICE}
+        self.postings = {w: ids for w, ids in postings.items() if w not in COMMON}
 
     def retrieve(self, terms: list[str]) -> list[int]:
-        """Exemplars that share a telling word with the window and have RETRIEVED of its words."""
-        found = Counter(i for w in set(terms) for i in self.postings.get(w, ()))
-        return [i for i in found if sum(w in self.bags[i] for w in terms) >= RETRIEVED * len(terms)]
-
-
-# Words of notices so short that they have no rarer word.
-SHORT_NOTICE = frozenset(("error", "page", "loading", "text", "test", "document", "status", "forbidden", "code", "body"))
+        """Exemplars that share a telling word with the window and have RETRIEVED of its words. Those of content must also be there
+        by half of their own words: a bare notice isn't yet a sentence that discusses one."""
+        have = set(terms)
+        found = {i for w in have for i in self.postings.get(w, ())}
+        near = (i for i in found if sum(w in self.bags[i] for w in terms) >= RETRIEVED * len(terms))
+        return [i for i in near if i < self.residue or 2 * len(have & self.bags[i]) >= len(self.bags[i])]
 
 
 @lru_cache(maxsize=1)
@@ -141,7 +141,7 @@ def read(text: str) -> tuple[list[tuple[str, int, bool]], int]:
     title = 0
     if len(kept) > 1 and len(kept[0]) == 1 and SLOT not in kept[0][0]:
         head = kept[0][0]
-        if len(head) <= 140 and (not _END.search(head) or _COMPANY_END.search(head)) and "{" not in head and not index().retrieve(words(head)):
+        if len(head) <= 140 and (not _END.search(head) or _COMPANY_END.search(head)) and "{" not in head and not any(i < index().residue for i in index().retrieve(words(head))):
             title = len(head)
             kept = kept[1:]
     out = []

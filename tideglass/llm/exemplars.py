@@ -13,8 +13,8 @@ RESIDUE = (
     "Headline title subtitle summary introduction bio caption chart title commentary pull quote body copy opening paragraph text to follow to come coming soon",
     "Untitled headline title subtitle summary introduction bio caption chart commentary pull quote document paragraph body copy",
     "Replace this text with the your own headline title subtitle summary introduction bio caption chart commentary pull quote body copy opening paragraph here below in this box",
-    "Sample dummy demo test mock mock-up example placeholder filler text content data copy only to be swapped replaced before going live release launch print publishing publication for the mock-up preview build layout",
-    "This is a sample dummy placeholder made-up fake test demo mock story article text page used to preview test try out the page layout",
+    "Sample dummy demo test mock mock-up example placeholder filler text content data copy only to be swapped replaced before going live release launch print publishing publication for design testing purposes the template mock-up preview build layout",
+    "This is a sample dummy placeholder made-up fake test demo mock story article text page used to preview test try out fill the page layout",
     "Test test test testing one two three text text text abc xyz asdf qwer qwerty foo bar baz bla blah",
     "Aquí va escriba inserte aquí el la un titular título subtítulo resumen texto pie de foto entradilla introducción biografía cita comentario por definir",
     "Este es un texto de prueba relleno simulado ejemplo sin contenido sustituir antes de publicar",
@@ -35,7 +35,7 @@ RESIDUE = (
     "Connection timed out after ms while loading opening fetching reading getting the article document page filing transcript story",
     "Fatal error uncaught exception runtimeexception timeouterror valueerror keyerror typeerror connectionreseterror nullpointerexception oserror ioerror in render viewer quotes filing page article php py java on line",
     "Traceback most recent call last file srv app render viewer quotes filing page article py line in main fetch load page build body",
-    "body doc filing story article page document html body",
+    "body doc filing story article page payload document html text body",
     "keyerror body document html story page",
     "java lang runtimeexception timeouterror valueerror keyerror typeerror connectionreseterror nullpointerexception resource unavailable bad request body document not found missing key upstream timeout quota exceeded not authorized invalid token",
     "at app render viewer quotes filing page article build body load main fetch page java",
@@ -52,10 +52,10 @@ RESIDUE = (
     "It looks like an ad blocker privacy extension your firewall is stopping blocking this the article document filing page transcript story from loading",
     "Your browser is not supported out of date cannot show this page blocks content we need use a newer browser update it and come back see the help page for steps change your settings and reload refresh when done",
     "Checking your browser before you continue just a moment while we check your connection security check in progress this may should only take takes a few seconds redirecting",
-    "Verify confirm prove that you are human a person not a robot by completing the action below press and hold the button tick the box solve the captcha puzzle",
-    "Active permita habilite debe habilitar los las scripts cookies JavaScript para leer ver continuar esta página la noticia el visor esta aplicación necesita que los scripts estén habilitados espere un momento estamos comprobando su navegador",
-    "Veuillez activer activez autorisez vous devez les cookies scripts JavaScript pour continuer lire voir cette page l'article cette application nécessite fonctionne uniquement avec patientez un instant nous vérifions votre navigateur",
-    "Bitte aktivieren erlauben Sie Sie müssen JavaScript Cookies Skripte aktivieren um die diese Seite Meldung zu lesen sehen fortzufahren diese Anwendung der Kursmonitor funktioniert nur mit eingeschalteten Skripten einen Moment bitte Ihr Browser wird geprüft",
+    "Verify confirm prove that you are human a person not a robot by completing the action below press and hold the button tick the box solve the captcha puzzle to reach the document page article filing",
+    "Active permita habilite debe habilitar los las scripts cookies JavaScript para leer ver continuar esta página la noticia el visor esta aplicación necesita que los scripts estén habilitados espere un momento estamos comprobando su navegador esto tarda tardará unos pocos segundos",
+    "Veuillez activer activez autorisez vous devez les cookies scripts JavaScript pour continuer lire voir cette page l'article cette application nécessite exige l'exécution de fonctionne uniquement avec le site lecteur afficher patientez un instant nous vérifions vérification de votre navigateur en cours cela prend quelques secondes",
+    "Bitte aktivieren erlauben Sie Sie müssen JavaScript Cookies Skripte aktivieren um die diese Seite Meldung zu lesen sehen fortzufahren diese Anwendung der Kursmonitor funktioniert nur mit eingeschalteten Skripten einen Moment bitte Ihr Browser wird geprüft dies dauert nur wenige Sekunden",
 )
 
 FRAME = (

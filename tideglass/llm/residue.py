@@ -2,8 +2,8 @@
 
 Labelled exemplars are bags of words under an inverted index that every worker holds (some sixty exemplars, a fixed number). A text
 is cut to passage windows (lines, sentences, at most WINDOW words). A window is looked up by its telling words; what it retrieves
-is scored by TF-IDF containment: the share of the window's weight that the exemplar covers, by document frequencies of the whole
-corpus. Windows covered by residue count against the text's content, which is what is left without titles, menus and markup;
+is scored by TF-IDF containment: the share of the window's weight that the exemplars retrieved for it cover, by document frequencies
+of the whole corpus. Windows covered by residue count against the text's content, which is what is left without titles, menus and markup;
 a text is excluded where they cover most of it. Unfilled slots and values that failed to render are single-word exemplars, for
 which one occurrence in a window that isn't quoting it is enough.
 """
@@ -27,7 +27,7 @@ WINDOW = 40
 #: Share of a window's weight, and of a text's content, from which they count as residue.
 COVERED, EXCLUDED = 0.65, 0.5
 #: Share of a window's words that an exemplar must have to be scored.
-RETRIEVED = 0.4
+RETRIEVED = 0.3
 # Words that don't retrieve.
 COMMON = frozenset("the a an of to in on and or for with is are was be by at from it its this that as has have not no your you we our which who i s t d l la le les de des du un une el los las en y que por para der die das und ist in zu den".split())
 SLOT = "\ue000"
@@ -51,10 +51,11 @@ _SLOTS = regex.compile(
             rf"<<\s*{_NAME}\s*>>",
             rf"(?:<|&lt;)(?!/|(?i:(?:{_TAGS})\b)){_NAME}(?:>|&gt;)",
             rf"@@\s*{_NAME}\s*@@|@\{{{_NAME}\}}",
-            r"(?<![\w])__\p{L}[\p{L}\p{N}_]*?__(?!\w)",
-            r"%\([\p{L}_][\w.]*\)[sdfr]|(?<![\w%])%(?:[-+]?\d*\.?\d*)[sdf]\b(?!\w)",
+            r"(?<!\w)__\p{L}[\p{L}\p{N}_. ]{0,40}?__(?!\w)",
+            rf"%\({_NAME}\)[sdfr]|(?<![\w%])%(?:[-+]?\d*\.?\d*)[sdf]\b(?!\w)",
             rf"%%\s?{_NAME}\s?%%|(?<![\w|<])\|{_NAME}\|(?![\w|>])|«{_NAME}»",
             r"%[A-Z][A-Z_]{2,}%|%[a-z]+_[a-z_]+%|%\{[\w.]+\}",
+            r"\$[A-Z][A-Z_]+(?: [A-Z]+)?\$",
             rf"\$(?:[\p{{Ll}}]+[\p{{Lu}}_][\p{{L}}_.]*|[\p{{L}}]+_[\p{{L}}_.]+)\$|\$[\p{{Ll}}][\p{{L}}_. ]{{2,30}}\$",
             r"\[(?i:insert|your|enter|add|fill in|replace|placeholder)\b[^\]\n]{0,60}\]",
             r"\[(?i:to come|tbd|tbc|tk|to be (?:confirmed|determined|added|completed))\]",
@@ -189,8 +190,8 @@ def residue_scores(documents: DataFrame, key: str = "doc_id", text: str = "text"
     """key, coverage, slots, is_residue of every text in which a window retrieved an exemplar or a slot; other texts, and null,
     empty and blank ones, have no row: nothing in them is residue. Keys are bigint and unique.
 
-    coverage: the share of the content's letters in windows of which an exemplar of residue covers COVERED of the weight and none
-    of content covers more. slots: windows with a slot that no exemplar of content covers."""
+    coverage: the share of the content's letters in windows of which the exemplars of residue cover COVERED of the weight (as a window
+    may run two notices together, all that it retrieved count) and none of content covers more. slots: windows with a slot that no exemplar of content covers."""
     c = F.col
     look = index()
     hits = materialise(documents.select(c(key).cast("bigint"), text).mapInPandas(_retrieve, CANDIDATE), "residue-windows")
@@ -198,12 +199,15 @@ def residue_scores(documents: DataFrame, key: str = "doc_id", text: str = "text"
     words_ = hits.select("terms").distinct().select(F.explode("terms").alias("term")).distinct()
     idf = words_.join(document_frequencies(documents, text), "term", "left").join(F.broadcast(n)).select("term", (F.log((c("n") + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 0.1).alias("idf"))
     bags = F.create_map(*(x for i, bag in enumerate(look.bags) for x in (F.lit(i), F.array(*map(F.lit, sorted(bag))))))
-    weighed = hits.where(c("exemplar") >= 0).select("doc", "window", "size", "content", "slot", "exemplar", F.explode("terms").alias("term")).join(idf, "term")
-    covered = F.array_contains(F.try_element_at(bags, c("exemplar")), c("term"))
-    scored = weighed.groupBy("doc", "window", "size", "content", "slot", "exemplar").agg((F.sum(F.when(covered, c("idf")).otherwise(0.0)) / F.sum("idf")).alias("share"))
-    plain = hits.where(c("exemplar") < 0).select("doc", "window", "size", "content", "slot", "exemplar", F.lit(0.0).alias("share"))
+    # Exemplars of residue count together, those of content each for itself.
+    kind = F.when(c("exemplar") < look.residue, -1).otherwise(c("exemplar"))
+    own = hits.where(c("exemplar") >= 0).groupBy("doc", "window", "size", "content", "slot", "terms", kind.alias("kind")).agg(F.collect_set("exemplar").alias("exemplars"))
+    weighed = own.select("doc", "window", "size", "content", "slot", "kind", "exemplars", F.explode("terms").alias("term")).join(idf, "term")
+    covered = F.exists("exemplars", lambda e: F.array_contains(F.try_element_at(bags, e), c("term")))
+    scored = weighed.groupBy("doc", "window", "size", "content", "slot", "kind").agg((F.sum(F.when(covered, c("idf")).otherwise(0.0)) / F.sum("idf")).alias("share"))
+    plain = hits.where(c("exemplar") < 0).select("doc", "window", "size", "content", "slot", F.lit(-1).alias("kind"), F.lit(0.0).alias("share"))
     best = scored.unionByName(plain).groupBy("doc", "window", "size", "content", "slot").agg(
-        F.max(F.when(c("exemplar").between(0, look.residue - 1), c("share")).otherwise(0.0)).alias("residue"), F.max(F.when(c("exemplar") >= look.residue, c("share")).otherwise(0.0)).alias("about")
+        F.max(F.when(c("kind") < 0, c("share")).otherwise(0.0)).alias("residue"), F.max(F.when(c("kind") >= 0, c("share")).otherwise(0.0)).alias("about")
     )
     bad = (c("residue") >= COVERED) & (c("residue") > c("about"))
     slot = c("slot") & (c("about") < 0.6)

@@ -89,8 +89,11 @@ def stuck(same: np.ndarray, run: int = RUN) -> np.ndarray:
     return same & np.repeat(lengths >= run, lengths)
 
 
-def _judge(g: pd.DataFrame) -> pd.DataFrame:
-    """One slot in order: move (to the value before), departure of each series, stuck."""
+def _judge(g: pd.DataFrame, moves: float) -> pd.DataFrame:
+    """One slot in order: move (to the value before), departure of each series, stuck.
+
+    Where the slot is the whole day, departures that no sketch of its moves could let through (below `moves` times their 45 %
+    quantile) are left out."""
     out = {}
     held = np.zeros(len(g), bool)
     for name in SERIES:
@@ -100,6 +103,8 @@ def _judge(g: pd.DataFrame) -> pd.DataFrame:
         far, move = np.full(len(g), np.nan), np.full(len(g), np.nan)
         far[at] = departure(x)
         move[at[1:]] = np.abs(np.diff(x))
+        if len(x) > 1 and g["alone"].iloc[0]:
+            far[far <= moves * np.quantile(move[at[1:]], 0.45)] = 0
         out[f"far_{name}"], out[f"move_{name}"] = np.where(far > 0, far, np.nan), move
         if name == "price" and len(x):
             held[at] |= stuck(np.append(False, x[1:] == x[:-1]))
@@ -115,7 +120,7 @@ def _judge(g: pd.DataFrame) -> pd.DataFrame:
 JUDGED = "symbol string, day bigint, hour int, tick_id bigint, volume bigint, impossible boolean, stuck boolean, " + ", ".join(f"far_{s} double, move_{s} double" for s in SERIES)
 
 
-def _judge_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _judge_sorted(batches: Iterator[pd.DataFrame], moves: float) -> Iterator[pd.DataFrame]:
     """Rows come sorted by symbol, day, slot and order; a slot that goes on in the next batch waits for it."""
     rest: list[pd.DataFrame] = []
     key = ["symbol", "day", "slot"]
@@ -128,22 +133,22 @@ def _judge_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         whole = pd.concat([*rest, part], ignore_index=True) if rest else part
         tail = (whole["symbol"] == last[0]) & (whole["day"] == last[1]) & (whole["slot"] == last[2])
-        yield from _judge_each(whole[~tail], key)
+        yield from _judge_each(whole[~tail], key, moves)
         rest = [whole[tail]]
     if rest:
-        yield from _judge_each(pd.concat(rest, ignore_index=True), key)
+        yield from _judge_each(pd.concat(rest, ignore_index=True), key, moves)
 
 
-def _judge_each(rows: pd.DataFrame, key: list[str]) -> Iterator[pd.DataFrame]:
+def _judge_each(rows: pd.DataFrame, key: list[str], moves: float) -> Iterator[pd.DataFrame]:
     if rows.empty:
         return
     change = np.ones(len(rows), bool)
     change[1:] = np.logical_or.reduce([rows[k].to_numpy()[1:] != rows[k].to_numpy()[:-1] for k in key])
     ends = np.append(np.flatnonzero(change), len(rows))
-    yield pd.concat([_judge(rows.iloc[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], ignore_index=True)
+    yield pd.concat([_judge(rows.iloc[a:b], moves) for a, b in zip(ends[:-1], ends[1:], strict=True)], ignore_index=True)
 
 
-def judged(ticks: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def judged(ticks: DataFrame, slot_rows: int = SLOT_ROWS, moves: float = MOVES) -> DataFrame:
     """Usable ticks (symbol, event_ms, tick_id, price, volume, bid, ask) with what each shows within its own day."""
     c = F.col
     ticks = ticks.where(c("symbol").isNotNull())
@@ -154,9 +159,9 @@ def judged(ticks: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
     )
     rows = rows.withColumn("impossible", c("w0") | c("w1") | c("w2") | c("w3") | c("w4")).drop(*(f"w{i}" for i in range(5)))
     placed = rows.join(slots(ticks, slot_rows), ["symbol", "period"], "left")
-    placed = placed.select("symbol", "day", F.coalesce("slot", F.lit(0)).alias("slot"), F.coalesce("own", F.lit(True)).alias("own"), "hour", "event_ms", "tick_id", "volume", "price", "bid", "ask", "impossible")
+    placed = placed.select("symbol", "day", F.coalesce("slot", F.lit(0)).alias("slot"), c("slot").isNull().alias("alone"), F.coalesce("own", F.lit(True)).alias("own"), "hour", "event_ms", "tick_id", "volume", "price", "bid", "ask", "impossible")
     key = ["symbol", "day", "slot"]
-    return placed.repartition(*key).sortWithinPartitions(*key, "event_ms", "tick_id").mapInPandas(_judge_sorted, JUDGED)
+    return placed.repartition(*key).sortWithinPartitions(*key, "event_ms", "tick_id").mapInPandas(lambda parts: _judge_sorted(parts, moves), JUDGED)
 
 
 def flag_ticks(ticks: DataFrame, moves: float = MOVES, volumes: float = VOLUMES, slot_rows: int = SLOT_ROWS) -> DataFrame:
@@ -166,7 +171,7 @@ def flag_ticks(ticks: DataFrame, moves: float = MOVES, volumes: float = VOLUMES,
     ticks: symbol, event_ms, tick_id, price, volume, bid, ask, as usable_ticks gives them. A day whose median move is 0 takes
     a higher quantile; without any move nothing spikes. The sketches' medians are within 1 % of rank (KLL, k = 200)."""
     c = F.col
-    rows = materialise(judged(ticks, slot_rows), "judged-ticks")
+    rows = materialise(judged(ticks, slot_rows, moves), "judged-ticks")
     moved = [F.kll_sketch_agg_double(f"move_{s}").alias(f"moves_{s}") for s in SERIES]
     volume = [F.kll_sketch_agg_double(c("volume").cast("double")).alias("volumes"), F.count("volume").alias("n_volumes")]
     counts = [F.count(f"move_{s}").alias(f"n_{s}") for s in SERIES]
@@ -185,9 +190,12 @@ def flag_ticks(ticks: DataFrame, moves: float = MOVES, volumes: float = VOLUMES,
     hourly = hourly.select("symbol", "hour", (quantile("v", 0.75) + 10.0 * (quantile("v", 0.75) - quantile("v", 0.25))).alias("fence"))
     total = sketches.where(c("n_volumes") > 0).groupBy("symbol").agg(F.kll_merge_agg_double("volumes").alias("v"))
     total = total.select("symbol", (quantile("v", 0.5) * volumes).alias("most_volume"))
-    limits = daily.join(total, "symbol", "left")
     yes = lambda x: F.coalesce(x, F.lit(False))
-    out = rows.join(limits, ["symbol", "day"], "left").join(hourly, ["symbol", "hour"], "left")
+    # Only rows that leave their surroundings travel to the day's limits; the tables by symbol are small beside the rows.
+    departs = F.coalesce(*(c(f"far_{s}") for s in SERIES)).isNotNull()
+    still = rows.where(~departs).withColumns({f"most_{s}": F.lit(None).cast("double") for s in SERIES})
+    both = rows.where(departs).join(daily, ["symbol", "day"], "left").unionByName(still)
+    out = both.join(total, "symbol", "left").join(hourly, ["symbol", "hour"], "left")
     spikes = [yes(c(f"far_{s}") > c(f"most_{s}")).alias(f"spike_{s}") for s in SERIES]
     flags = out.select("symbol", "tick_id", "impossible", "stuck", *spikes, yes(c("volume") > c("most_volume")).alias("spike_volume"), yes(c("volume") > c("fence")).alias("above_fence"))
     return flags.withColumn("flagged", c("impossible") | c("stuck") | c("spike_price") | c("spike_bid") | c("spike_ask") | c("spike_volume"))

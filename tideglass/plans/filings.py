@@ -13,6 +13,7 @@ from tideglass.functions import scalars as f
 from tideglass.operators import filings as fl
 from tideglass.operators import transcripts as tr
 from tideglass.operators.ticks import one_per_id
+from tideglass.sources.market import previous_quarter as previous
 from tideglass.sources.tables import table
 
 c = F.col
@@ -324,3 +325,15 @@ def knn_cosine_top5(spark, folder):
     v = table(spark, folder, "embeddings").select("vec_id", "embedding")
     q = v.where(c("vec_id") % 50 == 0).select(c("vec_id").alias("query_id"), "embedding")
     return tr.nearest_vectors(v, q).withColumn("score", F.round("score", 6))
+
+
+@query("SELECT doc_type, count(*) AS documents FROM documents WHERE upper(trim(doc_type)) IN ('10-K', '10-Q', '8-K', '4', '3', '5', 'S-1', 'DEF 14A', '13F-HR', 'SC 13D', 'SC 13G') GROUP BY 1")
+def form_types(spark, folder):
+    kept = F.upper(F.trim("doc_type")).isin(*fl.FORM_TYPES)
+    return table(spark, folder, "documents").where(kept).groupBy("doc_type").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query("SELECT o_orderkey, year(d) AS year, CAST(quarter(d) AS INTEGER) AS quarter FROM (SELECT o_orderkey, date_trunc('quarter', o_orderdate) - INTERVAL 3 MONTH AS d FROM orders)")
+def previous_quarter(spark, folder):
+    q = previous(F.to_date("o_orderdate"))
+    return table(spark, folder, "orders").select("o_orderkey", q["year"].cast("bigint").alias("year"), q["quarter"].alias("quarter"))

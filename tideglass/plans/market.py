@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tideglass.functions import indicators as ind
 from tideglass.functions.scalars import md5_partition
+from tideglass.operators import drift as dr
 from tideglass.operators import market as m
+from tideglass.operators import serving as sv
 from tideglass.operators.ticks import usable_ticks
 from tideglass.plans.core_queries import USABLE, Query
 from tideglass.sources.tables import table
@@ -459,3 +461,87 @@ def quote_forex(spark, folder):
 @query(f"WITH {TICKS} SELECT et AS timestamp, regexp_replace(sym, '-USD$', '') AS symbol, price, volume FROM m")
 def quote_crypto(spark, folder):
     return m.quotes(_ticks(spark, folder), "crypto")
+
+
+def _serving(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Daily bars and the latest features of each symbol, as the serving functions take them."""
+    ticks = _ticks(spark, folder, "high", "low")
+    bars = m.daily_bars(ticks).withColumnRenamed("start", "timestamp")
+    feats = m.features(ticks, "reference").withColumn("timestamp", c("event_ms") - F.pmod(c("event_ms"), F.lit(86_400_000).cast("bigint"))).drop("high", "low", "price", "event_ms")
+    return bars, feats
+
+
+@query(f"WITH {BARS} SELECT symbol, start AS timestamp, close FROM bars WHERE symbol = 'WIFUQ' AND start >= 1757900000000 ORDER BY start DESC, symbol LIMIT 20")
+def serve_ohlcv(spark, folder):
+    return sv.ohlcv(_serving(spark, folder)[0], "wifuq", 1757900000000, 0, 20).select("symbol", "timestamp", "close")
+
+
+@query(f"WITH {BARS} SELECT symbol, start AS timestamp, close FROM bars WHERE symbol = 'WIFUQ' ORDER BY start DESC LIMIT 1")
+def serve_latest(spark, folder):
+    return sv.latest(*_serving(spark, folder), "wifuq").select("symbol", "timestamp", "close")
+
+
+@query(f"WITH {BARS} SELECT count(*) AS bars, count(DISTINCT symbol) AS symbols, max(start) AS latest, count(DISTINCT symbol) AS features FROM bars")
+def serve_stats(spark, folder):
+    return sv.stats(*_serving(spark, folder))
+
+
+@query(f"WITH {LAST} SELECT sym AS symbol, price, CAST(row_number() OVER (ORDER BY coalesce(price, 0) DESC, sym) AS INTEGER) AS rank FROM last WHERE NOT regexp_matches(sym, '{'|'.join(sv.CRYPTO)}') QUALIFY rank <= 10")
+def serve_leaderboard(spark, folder):
+    return sv.leaderboard(m.changes(_ticks(spark, folder)), "stocks", "price", 10).select("symbol", "price", "rank")
+
+
+@query(f"WITH {LAST} SELECT * FROM (SELECT 'gainer' AS side, sym AS symbol, change_percent, CAST(row_number() OVER (ORDER BY change_percent DESC, sym) AS INTEGER) AS place FROM last) WHERE place <= 5 UNION ALL SELECT * FROM (SELECT 'loser', sym, change_percent, CAST(row_number() OVER (ORDER BY change_percent, sym) AS INTEGER) AS place FROM last) WHERE place <= 5")
+def serve_top_movers(spark, folder):
+    return sv.top_movers(m.changes(_ticks(spark, folder)), 5).select("side", "symbol", "change_percent", "place")
+
+
+@query(f"WITH {LAST} SELECT sym AS symbol, price FROM last WHERE contains(sym, 'QU') ORDER BY sym LIMIT 20")
+def serve_search(spark, folder):
+    return sv.search(m.changes(_ticks(spark, folder)), "qu").select("symbol", "price")
+
+
+@query()
+def serve_live(spark, folder):
+    """Nested rows; structs have no plain SQL form here."""
+    return sv.live(*_serving(spark, folder), "wifuq")
+
+
+@query(_portfolio_sql() + " SELECT symbol, round(cash, 6) AS cash, round(position, 6) AS position, round(value, 6) AS portfolio_value, total_trades FROM portfolio WHERE symbol = 'WIFUQ'")
+def serve_trading_stats(spark, folder):
+    bars = m.daily_bars(_ticks(spark, folder))
+    values = bars.select("symbol", c("start").alias("timestamp"), c("close").alias("portfolio_value"))
+    return _rounded(sv.trading_stats(m.portfolio(bars), values, "wifuq").select("symbol", "cash", "position", "portfolio_value", "total_trades"), "cash", "position", "portfolio_value")
+
+
+@query(f"""WITH {BARS}, v AS (SELECT *, coalesce(lag(close) OVER (PARTITION BY symbol ORDER BY start), 10000) AS before, row_number() OVER (PARTITION BY symbol ORDER BY start) AS n FROM bars), z AS (SELECT symbol, avg((close - before) / before) AS m, stddev_pop((close - before) / before) AS s, count(*) AS k FROM v WHERE n <= 100 GROUP BY 1)
+SELECT symbol, CASE WHEN k < 2 THEN 0 ELSE round((m * 252 - 0.02) / (CASE WHEN s = 0 THEN 0.001 ELSE s END * sqrt(252)), 4) END AS sharpe_ratio FROM z""")
+def sharpe_of_values(spark, folder):
+    bars = m.daily_bars(_ticks(spark, folder))
+    return sv.sharpe_of_values(bars.select("symbol", c("start").alias("timestamp"), c("close").alias("portfolio_value")))
+
+
+@query(f"WITH {USABLE} SELECT tick_id, round(CASE WHEN price IS NULL OR isnan(price) THEN 0 ELSE price END, 6) AS price, round(CASE WHEN high IS NULL OR isnan(high) THEN 0 ELSE high END, 6) AS high FROM usable")
+def sanitise_numbers(spark, folder):
+    return sv.sanitise(usable_ticks(table(spark, folder, "ticks"), "price", "high", symbol=False).select("tick_id", "price", "high", c("time").alias("_time")))
+
+
+@query(f"WITH {TICKS}, l AS (SELECT *, row_number() OVER (PARTITION BY partition ORDER BY et DESC, tick_id DESC) AS r FROM m WHERE partition IS NOT NULL) SELECT sym AS symbol, tick_id FROM l WHERE r <= 100 QUALIFY row_number() OVER (PARTITION BY sym ORDER BY et DESC, tick_id DESC) = 1")
+def jsonl_tail(spark, folder):
+    """Shards are partitions, lines are ticks in order of event time."""
+    t = _ticks(spark, folder, "partition").where(c("partition").isNotNull())
+    order = F.struct("event_ms", "tick_id")
+    lines = t.select(c("partition").alias("shard"), order.alias("line_no"), "symbol", order.alias("timestamp"), "tick_id")
+    return sv.json_tail(lines).select("symbol", "tick_id")
+
+
+_HIST = f"""{TICKS}, h AS (SELECT sym AS symbol, CAST(floor(price / 0.5) AS BIGINT) AS bin, count(*) FILTER (et < 1760000000000) AS a, count(*) FILTER (et >= 1760000000000) AS b FROM m GROUP BY 1, 2),
+  w AS (SELECT *, sum(a) OVER r AS ca, sum(b) OVER r AS cb, sum(a) OVER k AS na, sum(b) OVER k AS nb, count(*) OVER k AS k FROM h WINDOW r AS (PARTITION BY symbol ORDER BY bin ROWS UNBOUNDED PRECEDING), k AS (PARTITION BY symbol))"""
+
+
+@query(f"""WITH {_HIST} SELECT symbol, CAST(max(na) AS BIGINT) AS n_a, CAST(max(nb) AS BIGINT) AS n_b, round(max(CASE WHEN na > 0 AND nb > 0 THEN abs(ca / na - cb / nb) END), 6) AS ks,
+  round(sum(CASE WHEN na > 0 AND nb > 0 THEN (b + 1) / (nb + k) * ln(((b + 1) / (nb + k)) / ((a + 1) / (na + k))) END), 6) AS kl FROM w GROUP BY 1""")
+def drift_ks_kl(spark, folder):
+    """Drift of each symbol's prices after an instant against those before."""
+    rows = _ticks(spark, folder).withColumn("later", c("event_ms") >= 1760000000000)
+    return _rounded(dr.drift(dr.histograms(rows, "symbol", "price", "later", 0.5), "symbol"), "ks", "kl")

@@ -25,10 +25,13 @@ def build_session(master: str = "local[*]", app: str = "tideglass", **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which every executor can reach. One is made only where that is unset (tests)."""
+    """The folder of spark.checkpoint.dir, which every executor can reach. Where that is unset, a local
+    session (tests) gets a temporary one; on a cluster that is an error."""
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     context = spark.sparkContext
     if not folder:
+        if context.getCheckpointDir() is None and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = context.getCheckpointDir() or os.path.join(tempfile.gettempdir(), f"tideglass-{os.getuid()}")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

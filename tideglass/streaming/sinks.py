@@ -72,6 +72,15 @@ def event_files(path: str) -> Callable[[DataFrame, int], None]:
     return sink
 
 
+def symbol_files(path: str) -> Callable[[DataFrame, int], None]:
+    """CSV with a header, a folder for each symbol, to which every batch adds its files."""
+
+    def sink(rows: DataFrame, batch: int) -> None:
+        rows.withColumn("key", F.col("symbol")).write.mode("append").partitionBy("key").option("header", True).csv(path)
+
+    return sink
+
+
 def kafka_rows(rows: DataFrame, topic: str, parts: int = 3) -> DataFrame:
     """key, value, partition, topic as Spark's Kafka sink takes them; the partition is md5 of the symbol."""
     return rows.select(F.col("symbol").alias("key"), F.to_json(F.struct("*")).alias("value"), md5_partition(F.col("symbol"), parts).alias("partition"), F.lit(topic).alias("topic"))

@@ -10,6 +10,7 @@ which one occurrence in a window that isn't quoting it is enough.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,14 +32,19 @@ RETRIEVED = 0.3
 # Words that don't retrieve.
 COMMON = frozenset("the a an of to in on and or for with is are was be by at from it its this that as has have not no your you we our which who i s t d l la le les de des du un une el los las en y que por para der die das und ist in zu den".split())
 SLOT = "\ue000"
+#: Longer lines aren't looked up among the frames.
+LONGEST_FRAME = 3 * max(map(len, FRAME))
 
-_WORD = regex.compile(r"\p{L}+")
+#: Words are runs of letters that touch no digit: codes and numbers have none. The second form is for the JVM.
+_RUN = re.compile(r"\w+")
+WORD = r"(?<![\p{L}\p{N}_])\p{L}+(?![\p{L}\p{N}_])"
 _NAME = r"[\p{L}_][\p{L}\p{N}_.]*(?: [\p{L}\p{N}_.]+){0,3}"
 _TAGS = "|".join(ELEMENTS)
 _MARKS = "|".join(m.replace(" ", r"\s+") for m in GENRE_MARKS)
 #: Slots, longest forms first. A name in braces that closes a JSON member, a formula between dollars and a quoted slot are none.
 _SLOTS = regex.compile(
-    "|".join(
+    r"(?=[{<%$#@\[_«|&(])(?:"
+    + "|".join(
         (
             rf"(?<!\"|“|\$)\$?\{{\{{+[>#/^&!]?\s*{_NAME}\s*\}}+\}}(?!\"|”)",
             rf"<%[=-]?\s*{_NAME}\s*[-]?%>",
@@ -62,37 +68,50 @@ _SLOTS = regex.compile(
             rf"\[(?!(?i:{_MARKS})\])[A-Z][A-Z]+(?:[ _/.][A-Z]+){{0,4}}\]",
             r"\[\s*(?:_{2,}|●|•|x{2,}|X{2,}|\.{3}|…|\?+)\s*\]",
             r"(?<!\w)_{4,}(?!\w)",
-            r"\b(?:TKTK|tktk|X{4,}|XXX|xxxx+|XX\.XX|xx\.xx)\b",
-            r"\[object Object\]|\[OBJECT OBJECT\]|\[object object\]|#REF!|#VALUE!|#NAME\?|#DIV/0!|#N/A\b|#NULL!|#NUM!|#ref!|#value!|#n/a\b|#div/0!|(?<![\w.])NaN(?![\w.]*\w)|(?<!\w)undefined(?!\w)",
+            r"\[object Object\]|\[OBJECT OBJECT\]|\[object object\]|#REF!|#VALUE!|#NAME\?|#DIV/0!|#N/A\b|#NULL!|#NUM!|#ref!|#value!|#n/a\b|#div/0!",
             r"\((?:null|none|undefined)\)",
         )
     )
+    + ")"
 )
-_NULLS = regex.compile(r"(?<![\w\"':])null(?![\w\"':]| and void| hypothesis)|(?<=[a-z$,(] )None(?![\w\"':]| of\b)")
-_SHOUTED = regex.compile(r"\b(?:NAN|UNDEFINED|NULL|nan)\b")
+#: Marks that are words; a text without the letters in HINTS has none.
+_MARKED = re.compile(r"\b(?:TKTK|tktk|X{4,}|XXX|xxxx+|XX\.XX|xx\.xx)\b|(?<![\w.])NaN(?![\w.]*\w)|(?<!\w)undefined(?!\w)")
+HINTS = ("NaN", "undefined", "TKTK", "tktk", "XXX", "xxxx", "XX.XX", "xx.xx")
+_NULLS = re.compile(r"(?<![\w\"':])null(?![\w\"':]| and void| hypothesis)|(?<=[a-z$,(] )None(?![\w\"':]| of\b)")
+_SHOUTED = re.compile(r"\b(?:NAN|UNDEFINED|NULL|nan)\b")
 _TITLE = regex.compile(r"<title>.*?</title>", regex.I | regex.S)
 _MARKUP = regex.compile(rf"<!--.*?-->|<\?.*?\?>|</?(?i:{_TAGS})\b[^<>]*>|<!(?i:doctype)[^>]*>|</[^<>]*>|&(?:nbsp|amp|quot|#\d+);", regex.S)
-_SPACE = regex.compile(r"[^\S\n]+")
-_HIDDEN = regex.compile(r"[\p{Cc}\p{Cf}--[\n\t\r]]", regex.V1)
-_SENTENCE = regex.compile(r"(?<=[.!?。！？…][\"”»)]?)\s+|(?<=[。！？])")
-_CODE = regex.compile(r"\b(?=\w*\d)[0-9a-fA-F]{6,}\b")
-_END = regex.compile(r"[.!?…。:;,\"”»)]$")
-_COMPANY_END = regex.compile(r"\b(?:Inc|Co|Corp|Ltd|plc|Group|Bros|Cie)\.$", regex.I)
+_SPACE = re.compile(r"[^\S\n]{2,}|[^\S\n ]")
+_HIDDEN = regex.compile(r"[\p{Cc}\p{Cf}--[\n\t\r]]+", regex.V1)
+_STOP = re.compile(r"[.!?…][\"”»)]?\s+|[。！？][\"”»)]?\s*")
+_BLOCK = re.compile(r"\n\s*\n")
+_END = re.compile(r"[.!?…。:;,\"”»)]$")
+_COMPANY_END = re.compile(r"\b(?:Inc|Co|Corp|Ltd|plc|Group|Bros|Cie)\.$", re.I)
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w for w in _RUN.findall(text.lower()) if w.isalpha()]
+
+
+def sentences(line: str) -> list[str]:
+    out, at = [], 0
+    for m in _STOP.finditer(line):
+        out.append(line[at : m.end()].strip())
+        at = m.end()
+    out.append(line[at:].strip())
+    return [s for s in out if s]
 
 
 def windows(text: str) -> list[str]:
     """Lines cut to sentences, and these to pieces of at most WINDOW words."""
     out = []
     for line in text.split("\n"):
-        for s in _SENTENCE.split(line):
-            s = s.strip()
-            if s:
+        for s in sentences(line):
+            if s.count(" ") < WINDOW:
+                out.append(s)
+            else:
                 parts = s.split(" ")
-                out += [s] if len(parts) <= WINDOW else [" ".join(parts[i : i + WINDOW]) for i in range(0, len(parts), WINDOW)]
+                out += [" ".join(parts[i : i + WINDOW]) for i in range(0, len(parts), WINDOW)]
     return out
 
 
@@ -127,16 +146,22 @@ def read(text: str) -> tuple[list[tuple[str, int, bool]], int]:
     """(window, letters, has a slot) of the text's content and the length of the title that stands above it, if there is one.
 
     Markup, page titles and frames are gone. A first line of its own is a title if it has no full stop (but that of a company)."""
-    text = _HIDDEN.sub("", text.replace("\r\n", "\n").replace("\t", " "))
-    text = _MARKUP.sub("\n", _TITLE.sub("\n", _SLOTS.sub(f" {SLOT} ", text)))
-    text = _NULLS.sub(SLOT, _SHOUTED.sub(SLOT, text) if text in (text.upper(), text.lower()) else text)
-    text = _SPACE.sub(" ", _CODE.sub(" ", text))
+    text = _SLOTS.sub(f" {SLOT} ", _HIDDEN.sub("", text.replace("\r\n", "\n")))
+    if any(h in text for h in HINTS):
+        text = _MARKED.sub(SLOT, text)
+    if text == text.upper() or text == text.lower():
+        text = _SHOUTED.sub(SLOT, text)
+    if "null" in text or "None" in text:
+        text = _NULLS.sub(SLOT, text)
+    if "<" in text or "&" in text:
+        text = _MARKUP.sub("\n", _TITLE.sub("\n", text))
+    text = _SPACE.sub(" ", text)
     frame = index().frame
-    blocks = [b for b in regex.split(r"\n\s*\n", text) if b.strip()]
+    blocks = [b for b in _BLOCK.split(text) if b.strip()]
     kept = []
     for block in blocks:
         lines = [x.strip() for x in block.split("\n") if x.strip()]
-        lines = [x for x in lines if " ".join(words(x)) not in frame and not _only_frame(x, frame)]
+        lines = [x for x in lines if len(x) > LONGEST_FRAME or not _only_frame(x, frame)]
         if lines:
             kept.append(lines)
     title = 0
@@ -148,14 +173,14 @@ def read(text: str) -> tuple[list[tuple[str, int, bool]], int]:
     out = []
     for lines in kept:
         for w in windows("\n".join(lines)):
-            size = sum(not c.isspace() for c in w)
+            size = len(w) - w.count(" ")
             if size:
                 out.append((w, size, SLOT in w))
     return out, title
 
 
 def _only_frame(line: str, frame: set[str]) -> bool:
-    return all(" ".join(words(s)) in frame for s in _SENTENCE.split(line) if s.strip())
+    return " ".join(words(line)) in frame or all(" ".join(words(s)) in frame for s in sentences(line))
 
 
 CANDIDATE = "doc bigint, window bigint, size bigint, content bigint, slot boolean, exemplar int, terms array<string>"
@@ -182,7 +207,7 @@ def _retrieve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def document_frequencies(documents: DataFrame, text: str) -> DataFrame:
     """term, df over all texts; counted on the map side before the shuffle, so no term is hot."""
-    terms = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)))
+    terms = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
     return documents.where(F.col(text).isNotNull()).select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 

@@ -27,7 +27,7 @@ from tideglass.session import materialise
 WINDOW = 40
 #: Share of a window's weight, and of a text's content, from which they count as residue.
 COVERED, EXCLUDED = 0.65, 0.5
-#: Share of a window's words that an exemplar must have to be scored.
+#: Share of a window's telling words that an exemplar must have to be scored.
 RETRIEVED = 0.3
 # Words that don't retrieve.
 COMMON = frozenset("the a an of to in on and or for with is are was be by at from it its this that as has have not no your you we our which who i s t d l la le les de des du un une el los las en y que por para der die das und ist in zu den".split())
@@ -129,12 +129,13 @@ class Index:
         self.postings = {w: ids for w, ids in postings.items() if w not in COMMON}
 
     def retrieve(self, terms: list[str]) -> list[int]:
-        """Exemplars that share a telling word with the window and have RETRIEVED of its words. Those of content must also be there
+        """Exemplars that have RETRIEVED of the window's telling words, and at least one. Those of content must also be there
         by half of their own words: a bare notice isn't yet a sentence that discusses one."""
-        have = set(terms)
+        telling = [w for w in terms if w not in COMMON]
+        have = set(telling)
         found = {i for w in have for i in self.postings.get(w, ())}
-        near = (i for i in found if sum(w in self.bags[i] for w in terms) >= RETRIEVED * len(terms))
-        return [i for i in near if i < self.residue or 2 * len(have & self.bags[i]) >= len(self.bags[i])]
+        near = [i for i in found if sum(w in self.bags[i] for w in telling) >= RETRIEVED * len(telling)]
+        return [i for i in near if i < self.residue or 2 * len(self.bags[i].intersection(terms)) >= len(self.bags[i])]
 
 
 @lru_cache(maxsize=1)

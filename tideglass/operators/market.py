@@ -84,10 +84,10 @@ def trailing(ticks: DataFrame, width_ms: int = 300_000, shard_ms: int = SHARD_MS
 
 def sliding_rollup(ticks: DataFrame, width_ms: int = 300_000, hop_ms: int = 60_000) -> DataFrame:
     """symbol, window_start, avg_price, total_volume of sliding windows; aggregated by hop first, so only sums are copied."""
-    hops = ticks.groupBy("symbol", period_start(c("event_ms"), hop_ms).alias("hop")).agg(F.sum("price").alias("p"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("volume"), F.lit(0)).alias("v"))
+    hops = ticks.groupBy("symbol", period_start(c("event_ms"), hop_ms).alias("hop")).agg(F.sum(c("price").cast("decimal(14,4)")).alias("p"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("volume"), F.lit(0)).alias("v"))
     starts = F.sequence(c("hop") - (width_ms - hop_ms), c("hop"), F.lit(hop_ms).cast("bigint"))
     wide = hops.withColumn("window_start", F.explode(starts))
-    return wide.groupBy("symbol", "window_start").agg((F.sum("p") / F.sum("n")).alias("avg_price"), F.sum("v").alias("total_volume"))
+    return wide.groupBy("symbol", "window_start").agg((F.sum("p").cast("double") / F.sum("n")).alias("avg_price"), F.sum("v").alias("total_volume"))
 
 
 def changes(ticks: DataFrame) -> DataFrame:
@@ -190,8 +190,8 @@ def quotes(ticks: DataFrame, kind: str) -> DataFrame:
     """Messages of an asset class from raw quotes (symbol, price, volume, event_ms): what each producer derives."""
     sent = ticks.select(c("event_ms").alias("timestamp"), "symbol", "price", "volume")
     if kind == "stock":
-        half = c("price") * 0.001 / 2
-        return sent.withColumns({"bid": F.round(c("price") - half, 2), "ask": F.round(c("price") + half, 2), "partition": md5_partition(c("symbol"), 3)})
+        cents = lambda by: F.round(c("price").cast("decimal(14,4)") * F.lit(by).cast("decimal(5,4)"), 2).cast("double")
+        return sent.withColumns({"bid": cents("0.9995"), "ask": cents("1.0005"), "partition": md5_partition(c("symbol"), 3)})
     if kind == "crypto":
         return sent.withColumn("symbol", F.regexp_replace("symbol", "-USD$", ""))
     if kind == "commodity":

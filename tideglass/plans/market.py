@@ -249,9 +249,9 @@ def vwap_5min(spark, folder):
     return m.trailing(_ticks(spark, folder)).select("tick_id", "symbol", "vwap")
 
 
-@query(f"WITH {TICKS} SELECT sym AS symbol, w AS window_start, round(avg(price), 6) AS avg_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume FROM (SELECT *, unnest(generate_series(et - et % 60000 - 240000, et - et % 60000, 60000)) AS w FROM m) GROUP BY 1, 2")
+@query(f"WITH {TICKS} SELECT sym AS symbol, w AS window_start, CAST(sum(CAST(price AS DECIMAL(14,4))) AS DOUBLE) / count(*) AS avg_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume FROM (SELECT *, unnest(generate_series(et - et % 60000 - 240000, et - et % 60000, 60000)) AS w FROM m) GROUP BY 1, 2")
 def sliding_rollup_5m_1m(spark, folder):
-    return _rounded(m.sliding_rollup(_ticks(spark, folder)), "avg_price")
+    return m.sliding_rollup(_ticks(spark, folder))
 
 
 @query(f"WITH {TICKS} SELECT sym AS symbol, count(*) AS count, min(et) AS first_ms, max(et) AS last_ms, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume, round(CAST(coalesce(sum(volume), 0) AS DOUBLE) / count(*), 6) AS avg_volume FROM m GROUP BY 1")
@@ -443,7 +443,7 @@ def live_nested(spark, folder):
     return f.select("symbol", c("event_ms").alias("timestamp"), F.struct(zero("price"), zero("high"), zero("low")).alias("ohlcv"), F.struct(*(zero(f"ema_{n}") for n in _EMAS), zero("rsi"), zero("macd")).alias("indicators"), F.coalesce("trade_type", F.lit("HOLD")).alias("signal"))
 
 
-@query(f"WITH {TICKS} SELECT et AS timestamp, sym AS symbol, price, volume, round(price - price * 0.001 / 2, 2) AS bid, round(price + price * 0.001 / 2, 2) AS ask, CAST(md5_number(sym) % 3 AS INTEGER) AS partition FROM m")
+@query(f"WITH {TICKS} SELECT et AS timestamp, sym AS symbol, price, volume, CAST(round(CAST(price AS DECIMAL(14,4)) * 0.9995, 2) AS DOUBLE) AS bid, CAST(round(CAST(price AS DECIMAL(14,4)) * 1.0005, 2) AS DOUBLE) AS ask, CAST(md5_number(sym) % 3 AS INTEGER) AS partition FROM m")
 def quote_stock(spark, folder):
     return m.quotes(_ticks(spark, folder), "stock")
 

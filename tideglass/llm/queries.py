@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tideglass.llm import encode, nearest, packing, residue
 from tideglass.operators.ticks import clean_symbol, usable_ticks
 from tideglass.operators.zones import normal_news
+from tideglass.plans.core_queries import USABLE
+from tideglass.plans.time_sql import NEWS_TIMES
 from tideglass.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,4 +44,8 @@ def p10_corpus(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p6_found, p8_ids, p9_containers, p10_found, p10_corpus)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "p6_found": f"""WITH {NEWS_TIMES}, {USABLE}
+SELECT news_id, tick_id FROM news_times AS n JOIN usable AS u ON u.sym = n.sym AND u.et BETWEEN n.ms - 300000 AND n.ms + 300000
+QUALIFY row_number() OVER (PARTITION BY news_id ORDER BY abs(et - ms), et, tick_id) = 1""",
+}

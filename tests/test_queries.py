@@ -26,3 +26,15 @@ def test_entry(spark, small):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_columns_of_found_queries(spark, small):
+    kinds = {n: QUERIES[n](spark, small).dtypes for n in QUERIES if n.endswith("_found")}
+    assert kinds == {
+        "p1_found": [("symbol", "string"), ("period_start", "bigint")],
+        "p2_found": [("tick_id", "bigint")],
+        "p3_found": [("tick_id", "bigint"), ("outcome", "string")],
+        "p4_found": [("src", "string"), ("row_key", "string"), ("normal_form", "string")],
+        "p5_found": [("symbol", "string"), ("day_utc", "string")],
+        "p7_found": [("source_file", "string"), ("child_kind", "string"), ("child_pos", "int")],
+    }

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideglass.operators.ticks import clean_symbol
+
 
 #: Prices are summed as decimals, so that the result doesn't depend on the order of rows.
 PRICE = "decimal(20,8)"
@@ -19,10 +21,12 @@ def live_windows(changes: DataFrame) -> DataFrame:
     """symbol, window_start, volume, avg_price of the windows whose `diff` sums to 1, after dropping rows equal in all columns.
 
     volume is the sum of diff * total_volume with null as 0; avg_price the sum of diff * avg_price, null where the row that
-    stands has none. Windows with a null symbol or start don't count."""
+    stands has none. Symbols are trimmed and in upper case; windows with a null or blank
+    symbol or a null start don't count."""
     priced = F.col("avg_price").isNotNull() & ~F.isnan("avg_price")
     net = (
         changes.distinct()
+        .withColumn("symbol", clean_symbol(F.col("symbol")))
         .where(F.col("symbol").isNotNull() & F.col("window_start").isNotNull())
         .groupBy("symbol", "window_start")
         .agg(

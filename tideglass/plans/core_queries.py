@@ -138,9 +138,9 @@ _MARKED = f"""{USABLE},
 _GOOD = "price IS NOT NULL AND NOT isnan(price)"
 
 _LIVE = """
-  live AS (SELECT symbol, window_start, sum(diff * coalesce(total_volume, 0)) AS volume,
+  live AS (SELECT upper(trim(symbol)) AS symbol, window_start, sum(diff * coalesce(total_volume, 0)) AS volume,
       CASE WHEN sum(diff) FILTER (avg_price IS NOT NULL AND NOT isnan(avg_price)) = 1 THEN sum(diff * CAST(avg_price AS DECIMAL(20,8))) FILTER (avg_price IS NOT NULL AND NOT isnan(avg_price)) END AS price
-    FROM (SELECT DISTINCT * FROM rolling_features) WHERE symbol IS NOT NULL AND window_start IS NOT NULL GROUP BY 1, 2 HAVING sum(diff) = 1),
+    FROM (SELECT DISTINCT * FROM rolling_features) WHERE trim(symbol) <> '' AND window_start IS NOT NULL GROUP BY 1, 2 HAVING sum(diff) = 1),
   daily AS (SELECT symbol, CAST(floor(epoch(window_start) / 86400) AS BIGINT) AS day, sum(volume) AS volume, count(*) AS n_windows, sum(price) AS prices, count(price) AS n_prices FROM live GROUP BY 1, 2),
   days AS (SELECT symbol, unnest(generate_series(min(day), max(day))) AS day FROM daily GROUP BY 1),
   dense AS (SELECT symbol, day, coalesce(volume, 0) AS volume, coalesce(n_windows, 0) AS n_windows, coalesce(prices, 0) AS prices, coalesce(n_prices, 0) AS n_prices FROM days LEFT JOIN daily USING (symbol, day)),

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideglass.operators.ticks import div
+from tideglass.session import materialise
 
 TOLERANCE_MS = 300_000
 SHARD_MS = 3_600_000
@@ -108,6 +109,7 @@ def nearest_in_time(left: DataFrame, right: DataFrame, tolerance_ms: int = TOLER
     Rows with a null entity or time match nothing. Ids are bigint; a left id that occurs more than once comes out once."""
     c = F.col
     known = c("entity").isNotNull() & c("at").isNotNull() & c("id").isNotNull()
+    left = materialise(left.select("entity", "at", "id"), "nearest-left")  # three branches use it
     home, first, last = div(c("at"), shard_ms), div(c("at") - tolerance_ms, shard_ms), div(c("at") + tolerance_ms, shard_ms)
     lefts = left.where(known).select("entity", F.explode(F.sequence(first, last)).alias("shard"), "at", "id", F.lit(True).alias("is_left"))
     rights = right.where(known).select("entity", home.alias("shard"), "at", "id", F.lit(False).alias("is_left"))

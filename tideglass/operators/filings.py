@@ -15,12 +15,12 @@ from tideglass.functions.timeparse import let
 
 c = F.col
 
-# What a Form 4 page must not hold, must hold, and its structure.
+# What a Form 4 page must not hold, must hold, and its structure; forms that are fetched.
 EXCLUDED_WORDS = ("schedule 14a", "proxy statement", "defa14a", "def 14a", "voting instruction", "annual meeting", "shareholder meeting", "form 8-k", "current report", "inline xbrl", "xbrli:context")
 REQUIRED_WORDS = ("form 4", "statement of changes in beneficial ownership")
 TABLE_WORDS = ("table i - non-derivative securities", "table ii - derivative securities")
 STRUCTURE = ("name and address of reporting person", "issuer name.*ticker.*trading symbol", "relationship of reporting person", "transaction code")
-FORM_TYPES = ("10-K", "10-Q", "8-K", "4", "3", "5", "S-1", "DEF 14A", "13F-HR", "SC 13D", "SC 13G")
+FORM_TYPES = ("10-K", "10-Q", "8-K", "4", "13F", "13D", "DEF 14A", "S-1", "20-F", "NT 10-K", "DEFA14A")
 
 
 def form4_problem(text: Column) -> Column:

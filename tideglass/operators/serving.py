@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
-CRYPTO = ("BTC", "ETH", "BNB", "SOL", "XRP", "ADA", "DOGE", "DOT")
+# What a crypto instrument's symbol contains one of.
+CRYPTO = ("BTC", "ETH", "BNB", "SOL", "ADA", "DOGE", "XRP", "MATIC")
 
 
 def _of(df: DataFrame, symbol: str | None) -> DataFrame:
@@ -43,9 +44,11 @@ def symbols(bars: DataFrame) -> DataFrame:
 
 def stats(bars: DataFrame, rows: DataFrame) -> DataFrame:
     """One row: how many bars and feature rows, symbols, and the latest time."""
-    per = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("t"))
-    left = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("bars"), F.count("symbol").alias("symbols"), F.max("t").alias("latest"))
-    return left.join(F.broadcast(rows.agg(F.count(F.lit(1)).alias("features"))))
+    per = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"), F.max("timestamp").alias("latest"))
+    both = per.select("bars", F.lit(1).alias("symbols"), "latest", F.lit(0).alias("features")).unionByName(
+        rows.agg(F.count(F.lit(1)).alias("features")).select(F.lit(0).alias("bars"), F.lit(0).alias("symbols"), F.lit(None).cast("bigint").alias("latest"), "features")
+    )
+    return both.agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("bars", "symbols", "features")), F.max("latest").alias("latest"))
 
 
 def latest(bars: DataFrame, rows: DataFrame, symbol: str | None = None) -> DataFrame:
@@ -117,7 +120,7 @@ def sanitise(rows: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def replay_order(rows: DataFrame, at: str, key: str) -> DataFrame:
-    """rows with `place`-less total order for a replay: by time, and within one time in a fixed random order of keys."""
+    """rows in the order of a replay: by time, and within one time in a fixed random order of keys."""
     return rows.orderBy(at, F.xxhash64(key, at), key)
 
 

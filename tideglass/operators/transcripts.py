@@ -30,21 +30,14 @@ def split_text(text: str, size: int = SIZE, separators: tuple[str, ...] = SEPARA
     out: list[str] = []
     held = ""
     for part in parts:
-        if len(held) + len(part) <= size:
-            held += part
-            continue
-        if held.strip():
+        if held and (len(part) >= size or len(held) + len(part) > size):
             out.append(held.strip())
-        held = ""
-        if len(part) <= size:
-            held = part
-        elif finer:
-            out += split_text(part, size, finer)
+            held = ""
+        if len(part) < size:
+            held += part
         else:
-            out.append(part)
-    if held.strip():
-        out.append(held.strip())
-    return out
+            out += split_text(part, size, finer) if finer else [part.strip()]
+    return [x for x in (*out, held.strip()) if x]
 
 
 def midpoint(pieces: list[str], current: int, end: int) -> list[int]:

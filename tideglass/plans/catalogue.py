@@ -4,7 +4,5 @@ from __future__ import annotations
 
 from tideglass.plans import core_queries, filings, market, streams, time_sql
 
-assert time_sql  # adds to the core's SQL
-_PARTS = (core_queries, market, filings, streams)
-QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
-ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
+QUERIES = core_queries.QUERIES | market.QUERIES | filings.QUERIES | streams.QUERIES
+ORACLE = core_queries.ORACLE | time_sql.ORACLE | market.ORACLE | filings.ORACLE | streams.ORACLE

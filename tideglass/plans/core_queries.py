@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideglass.functions.timeparse import read_time
 from tideglass.operators import flatten, grid, lateness, outliers, trailing, zones
 from tideglass.operators.ticks import usable_ticks
+from tideglass.plans.registry import Query
 from tideglass.sources.tables import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-
 
 def p1_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Every period of every symbol and day, missing ones filled."""

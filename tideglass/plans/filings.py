@@ -13,23 +13,14 @@ from tideglass.functions import scalars as f
 from tideglass.operators import filings as fl
 from tideglass.operators import transcripts as tr
 from tideglass.operators.ticks import one_per_id
+from tideglass.plans.registry import registry
 from tideglass.sources.market import previous_quarter as previous
 from tideglass.sources.tables import table
 
 c = F.col
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+QUERIES, ORACLE, query = registry()
 
 
-def query(sql: str | None = None):
-    def put(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return put
-
 
 NEWS = "WITH n AS (SELECT *, nullif(upper(trim(symbol)), '') AS sym FROM news QUALIFY row_number() OVER (PARTITION BY news_id ORDER BY time) = 1)"
 
@@ -327,7 +318,7 @@ def knn_cosine_top5(spark, folder):
     return tr.nearest_vectors(v, q).withColumn("score", F.round("score", 6))
 
 
-@query("SELECT doc_type, count(*) AS documents FROM documents WHERE upper(trim(doc_type)) IN ('10-K', '10-Q', '8-K', '4', '3', '5', 'S-1', 'DEF 14A', '13F-HR', 'SC 13D', 'SC 13G') GROUP BY 1")
+@query("SELECT doc_type, count(*) AS documents FROM documents WHERE upper(trim(doc_type)) IN ('10-K', '10-Q', '8-K', '4', '13F', '13D', 'DEF 14A', 'S-1', '20-F', 'NT 10-K', 'DEFA14A') GROUP BY 1")
 def form_types(spark, folder):
     kept = F.upper(F.trim("doc_type")).isin(*fl.FORM_TYPES)
     return table(spark, folder, "documents").where(kept).groupBy("doc_type").agg(F.count(F.lit(1)).alias("documents"))

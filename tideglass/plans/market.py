@@ -11,12 +11,12 @@ from tideglass.operators import drift as dr
 from tideglass.operators import market as m
 from tideglass.operators import serving as sv
 from tideglass.operators.ticks import usable_ticks
-from tideglass.plans.core_queries import USABLE, Query
+from tideglass.plans.core_queries import USABLE
+from tideglass.plans.registry import registry
 from tideglass.sources.tables import table
 
 c = F.col
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+QUERIES, ORACLE, query = registry()
 
 TICKS = f"""{USABLE}, m AS (SELECT * FROM usable WHERE sym IS NOT NULL AND price IS NOT NULL AND NOT isnan(price))"""
 LAST = f"""{TICKS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY sym ORDER BY et DESC, tick_id DESC) AS place, lead(price) OVER (PARTITION BY sym ORDER BY et DESC, tick_id DESC) AS previous FROM m),
@@ -30,15 +30,6 @@ def ema_sql(values: str, n: int) -> str:
     return f"list_reduce({values}, lambda e, p: p * (2::DOUBLE / {n + 1}) + e * (1 - 2::DOUBLE / {n + 1}))"
 
 
-def query(sql: str | None = None):
-    def put(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
-
 
 def _ticks(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return m.market_ticks(table(spark, folder, "ticks"), "volume", *columns)

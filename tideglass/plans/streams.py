@@ -8,29 +8,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideglass.operators.ticks import clean_symbol, event_ms
+from tideglass.plans.registry import registry
 from tideglass.session import shared_folder
 from tideglass.sources.market import table_stream
 from tideglass.sources.tables import table
 from tideglass.streaming import sinks, stateful
 
 c = F.col
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+QUERIES, ORACLE, query = registry()
 
 RAW = """WITH r AS (SELECT *, upper(trim(symbol)) AS sym, CASE WHEN timestamp BETWEEN 1000000000 AND 9999999999 THEN timestamp * 1000 WHEN timestamp BETWEEN 1000000000000 AND 9999999999999 THEN timestamp
     WHEN timestamp BETWEEN 1000000000000000 AND 9999999999999999 THEN timestamp // 1000 WHEN timestamp >= 1000000000000000000 THEN timestamp // 1000000 END AS et FROM ticks),
   m AS (SELECT * FROM r WHERE et <= time AND sym <> '' AND price IS NOT NULL AND NOT isnan(price))"""
 
 
-def query(sql: str | None = None):
-    def put(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return put
-
 
 def _stream(spark, folder) -> DataFrame:
     """All deliveries of ticks with a usable time, a symbol and a price."""

@@ -188,7 +188,8 @@ CANDIDATE = "doc bigint, window bigint, size bigint, content bigint, slot boolea
 
 
 def _retrieve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each window and exemplar that it retrieved, and for each window with a slot (exemplar -1)."""
+    """A row for each window and exemplar that it retrieved, for each window with a slot (exemplar -1), and one that counts the
+    batch's texts in `size` (exemplar -2)."""
     look = index()
     for part in batches:
         rows = []
@@ -203,7 +204,9 @@ def _retrieve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if slot:
                     hits.append(-1)
                 rows += [(doc, at, size, content, slot, i, terms) for i in hits]
-        yield pd.DataFrame(rows, columns=["doc", "window", "size", "content", "slot", "exemplar", "terms"])
+        rows.append((None, -1, int(part.iloc[:, 1].notna().sum()), 0, False, -2, []))
+        out = pd.DataFrame(rows, columns=["doc", "window", "size", "content", "slot", "exemplar", "terms"])
+        yield out.astype({"doc": "Int64"})
 
 
 def document_frequencies(documents: DataFrame, text: str) -> DataFrame:
@@ -221,9 +224,10 @@ def residue_scores(documents: DataFrame, key: str = "doc_id", text: str = "text"
     c = F.col
     look = index()
     hits = materialise(documents.select(c(key).cast("bigint"), text).mapInPandas(_retrieve, CANDIDATE), "residue-windows")
-    n = documents.where(c(text).isNotNull()).agg(F.count(F.lit(1)).alias("n"))
+    n = hits.where(c("exemplar") == -2).agg(F.sum("size").alias("n")).first()["n"] or 0
+    hits = hits.where(c("exemplar") > -2)
     words_ = hits.select("terms").distinct().select(F.explode("terms").alias("term")).distinct()
-    idf = words_.join(document_frequencies(documents, text), "term", "left").join(F.broadcast(n)).select("term", (F.log((c("n") + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 0.1).alias("idf"))
+    idf = words_.join(document_frequencies(documents, text), "term", "left").select("term", (F.log((n + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 0.1).alias("idf"))
     bags = F.create_map(*(x for i, bag in enumerate(look.bags) for x in (F.lit(i), F.array(*map(F.lit, sorted(bag))))))
     # Exemplars of residue count together, those of content each for itself.
     kind = F.when(c("exemplar") < look.residue, -1).otherwise(c("exemplar"))
@@ -231,7 +235,7 @@ def residue_scores(documents: DataFrame, key: str = "doc_id", text: str = "text"
     weighed = own.select("doc", "window", "size", "content", "slot", "kind", "exemplars", F.explode("terms").alias("term")).join(idf, "term")
     covered = F.exists("exemplars", lambda e: F.array_contains(F.try_element_at(bags, e), c("term")))
     scored = weighed.groupBy("doc", "window", "size", "content", "slot", "kind").agg((F.sum(F.when(covered, c("idf")).otherwise(0.0)) / F.sum("idf")).alias("share"))
-    plain = hits.where(c("exemplar") < 0).select("doc", "window", "size", "content", "slot", F.lit(-1).alias("kind"), F.lit(0.0).alias("share"))
+    plain = hits.where(c("exemplar") == -1).select("doc", "window", "size", "content", "slot", F.lit(-1).alias("kind"), F.lit(0.0).alias("share"))
     best = scored.unionByName(plain).groupBy("doc", "window", "size", "content", "slot").agg(
         F.max(F.when(c("kind") < 0, c("share")).otherwise(0.0)).alias("residue"), F.max(F.when(c("kind") >= 0, c("share")).otherwise(0.0)).alias("about")
     )

@@ -172,12 +172,12 @@ def flag_ticks(ticks: DataFrame, moves: float = MOVES, volumes: float = VOLUMES,
     a higher quantile; without any move nothing spikes. The sketches' medians are within 1 % of rank (KLL, k = 200)."""
     c = F.col
     rows = materialise(judged(ticks, slot_rows, moves), "judged-ticks")
-    moved = [F.kll_sketch_agg_double(f"move_{s}").alias(f"moves_{s}") for s in SERIES]
-    volume = [F.kll_sketch_agg_double(c("volume").cast("double")).alias("volumes"), F.count("volume").alias("n_volumes")]
+    moved = [F.kll_sketch_agg_float(c(f"move_{s}").cast("float")).alias(f"moves_{s}") for s in SERIES]
+    volume = [F.kll_sketch_agg_float(c("volume").cast("float")).alias("volumes"), F.count("volume").alias("n_volumes")]
     counts = [F.count(f"move_{s}").alias(f"n_{s}") for s in SERIES]
     sketches = materialise(rows.groupBy("symbol", "day", "hour").agg(*moved, *counts, *volume), "tick-sketches")
-    quantile = lambda sketch, q: F.kll_sketch_get_quantile_double(sketch, F.lit(q))
-    merged = [F.kll_merge_agg_double(f"moves_{s}").alias(f"moves_{s}") for s in SERIES]
+    quantile = lambda sketch, q: F.kll_sketch_get_quantile_float(sketch, F.lit(q)).cast("double")
+    merged = [F.kll_merge_agg_float(f"moves_{s}").alias(f"moves_{s}") for s in SERIES]
     daily = sketches.groupBy("symbol", "day").agg(*merged, *(F.sum(f"n_{s}").alias(f"n_{s}") for s in SERIES))
 
     def usual_move(s: str):
@@ -186,9 +186,9 @@ def flag_ticks(ticks: DataFrame, moves: float = MOVES, volumes: float = VOLUMES,
         return F.when(c(f"n_{s}") > 0, F.coalesce(*found))
 
     daily = daily.select("symbol", "day", *((usual_move(s) * moves).alias(f"most_{s}") for s in SERIES))
-    hourly = sketches.where(c("n_volumes") > 0).groupBy("symbol", "hour").agg(F.kll_merge_agg_double("volumes").alias("v"))
+    hourly = sketches.where(c("n_volumes") > 0).groupBy("symbol", "hour").agg(F.kll_merge_agg_float("volumes").alias("v"))
     hourly = hourly.select("symbol", "hour", (quantile("v", 0.75) + 10.0 * (quantile("v", 0.75) - quantile("v", 0.25))).alias("fence"))
-    total = sketches.where(c("n_volumes") > 0).groupBy("symbol").agg(F.kll_merge_agg_double("volumes").alias("v"))
+    total = sketches.where(c("n_volumes") > 0).groupBy("symbol").agg(F.kll_merge_agg_float("volumes").alias("v"))
     total = total.select("symbol", (quantile("v", 0.5) * volumes).alias("most_volume"))
     yes = lambda x: F.coalesce(x, F.lit(False))
     # Only rows that leave their surroundings travel to the day's limits; the tables by symbol are small beside the rows.

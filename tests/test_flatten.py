@@ -9,7 +9,7 @@ from tideglass.operators.flatten import analyse, children, filing_tables, inline
 from tideglass.sources.tables import table
 
 
-def test_schema_graph():
+def test_schema_graph(spark):
     s = T._parse_datatype_string("a struct<b:int,c:array<struct<d:string,e:array<array<int>>,c:struct<d:int>>>>, a_b int, k string, tags array<string>")
     got = {t.name: (t.arrays, t.columns) for t in analyse(s, "root", "k")}
     assert got["root"][1] == [("a_b", ("a", "b")), ("a_b_2", ("a_b",)), ("k_2", ("k",))]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tideglass.functions.timeparse import let
 from tideglass.operators.ticks import one_per_id
+from tideglass.session import materialise
 
 
 @dataclass
@@ -121,7 +122,8 @@ def filings(form4: DataFrame, form4_raw: DataFrame) -> DataFrame:
 
 def filing_tables(form4: DataFrame, form4_raw: DataFrame) -> dict[str, DataFrame]:
     """The flat tables of all filings: filing, transactions, derivative_transactions, footnotes, reporting_person_relationship_to_issuer."""
-    return inline(filings(form4, form4_raw), "source_file", "record", "filing")
+    # Every table is a branch over the same filings: they are read and reconciled once.
+    return inline(materialise(filings(form4, form4_raw), "filings"), "source_file", "record", "filing")
 
 
 def children(tables: dict[str, DataFrame]) -> DataFrame:

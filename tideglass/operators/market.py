@@ -20,6 +20,12 @@ def good(column: str) -> Column:
     return c(column).isNotNull() & ~F.isnan(column)
 
 
+def exact_mean(x: Column) -> Column:
+    """The mean by a sum of decimals (four places), which doesn't depend on the order of rows; NaN counts as null."""
+    value = F.when(~F.isnan(x), x)
+    return F.sum(value.cast("decimal(18,4)")).cast("double") / F.count(value)
+
+
 def market_ticks(ticks: DataFrame, *columns: str) -> DataFrame:
     return usable_ticks(ticks, "price", *columns).where(c("symbol").isNotNull() & good("price"))
 
@@ -37,7 +43,7 @@ def enrich(ticks: DataFrame) -> DataFrame:
 def stats(ticks: DataFrame, key: str = "symbol") -> DataFrame:
     """count, avg, max, min price, total volume (nulls as 0), price_range and avg_volume by key; partial on the map side."""
     out = ticks.groupBy(key).agg(
-        F.count(F.lit(1)).alias("count"), F.avg("price").alias("avg_price"), F.max("price").alias("max_price"), F.min("price").alias("min_price"), F.coalesce(F.sum("volume"), F.lit(0)).alias("total_volume")
+        F.count(F.lit(1)).alias("count"), exact_mean(c("price")).alias("avg_price"), F.max("price").alias("max_price"), F.min("price").alias("min_price"), F.coalesce(F.sum("volume"), F.lit(0)).alias("total_volume")
     )
     return out.withColumns({"price_range": c("max_price") - c("min_price"), "avg_volume": c("total_volume") / c("count")})
 

@@ -51,7 +51,8 @@ def event_time_cast(spark, folder):
     return usable_ticks(table(spark, folder, "ticks"), symbol=False).select("tick_id", F.timestamp_millis("event_ms").alias("event_time"))
 
 
-_STATS = "count(*) AS count, round(avg(price), 6) AS avg_price, max(price) AS max_price, min(price) AS min_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume, round(max(price) - min(price), 6) AS price_range, round(CAST(coalesce(sum(volume), 0) AS DOUBLE) / count(*), 6) AS avg_volume"
+_MEAN = "CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / count(*)"
+_STATS = f"count(*) AS count, {_MEAN} AS avg_price, max(price) AS max_price, min(price) AS min_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume, max(price) - min(price) AS price_range, CAST(coalesce(sum(volume), 0) AS DOUBLE) / count(*) AS avg_volume"
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -60,20 +61,20 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @query(f"WITH {TICKS} SELECT sym AS symbol, {_STATS} FROM m GROUP BY 1")
 def symbol_stats(spark, folder):
-    return _rounded(m.stats(_ticks(spark, folder)), "avg_price", "price_range", "avg_volume")
+    return m.stats(_ticks(spark, folder))
 
 
-@query(f"WITH {TICKS} SELECT partition AS partition_id, count(*) AS message_count, round(avg(price), 6) AS avg_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume FROM m GROUP BY 1")
+@query(f"WITH {TICKS} SELECT partition AS partition_id, count(*) AS message_count, {_MEAN} AS avg_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume FROM m GROUP BY 1")
 def partition_stats(spark, folder):
-    out = _rounded(m.stats(_ticks(spark, folder, "partition"), "partition"), "avg_price")
+    out = m.stats(_ticks(spark, folder, "partition"), "partition")
     return out.select(c("partition").alias("partition_id"), c("count").alias("message_count"), "avg_price", "total_volume")
 
 
-@query(f"WITH {TICKS} SELECT sym AS symbol, count(*) AS count, round(avg(price), 6) AS avg_price, round(avg(ask - bid) FILTER (NOT isnan(ask - bid)), 6) AS avg_spread, round(avg((ask + bid) / 2) FILTER (NOT isnan(ask + bid)), 6) AS avg_mid_price FROM m GROUP BY 1")
+@query(f"WITH {TICKS}, e AS (SELECT sym AS symbol, price, CASE WHEN NOT isnan(ask - bid) THEN ask - bid END AS spread, CASE WHEN NOT isnan(ask + bid) THEN (ask + bid) / 2 END AS mid FROM m) SELECT symbol, count(*) AS count, {_MEAN} AS avg_price, CAST(sum(CAST(spread AS DECIMAL(18,4))) AS DOUBLE) / count(spread) AS avg_spread, CAST(sum(CAST(mid AS DECIMAL(18,4))) AS DOUBLE) / count(mid) AS avg_mid_price FROM e GROUP BY 1")
 def symbol_spread_stats(spark, folder):
     rows = m.enrich(_ticks(spark, folder, "bid", "ask", "high", "low"))
-    mean = lambda x: F.round(F.avg(F.when(~F.isnan(x), c(x))), 6).alias(f"avg_{x}")
-    return rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("count"), F.round(F.avg("price"), 6).alias("avg_price"), mean("spread"), mean("mid_price"))
+    mean = lambda x: m.exact_mean(c(x)).alias(f"avg_{x}")
+    return rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("count"), *map(mean, ("price", "spread", "mid_price")))
 
 
 @query("SELECT ticker, CAST(md5_number(ticker) % 3 AS INTEGER) AS partition_id FROM cik_map")

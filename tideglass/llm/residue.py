@@ -132,9 +132,15 @@ class Index:
         """Exemplars that have RETRIEVED of the window's telling words, and at least one. Those of content must also be there
         by half of their own words: a bare notice isn't yet a sentence that discusses one."""
         telling = [w for w in terms if w not in COMMON]
-        have = set(telling)
-        found = {i for w in have for i in self.postings.get(w, ())}
-        near = [i for i in found if sum(w in self.bags[i] for w in telling) >= RETRIEVED * len(telling)]
+        lists = [self.postings[w] for w in telling if w in self.postings]
+        least = RETRIEVED * len(telling)
+        if not lists or len(lists) < least:  # no exemplar can have more of them than all together
+            return []
+        found: dict[int, int] = {}
+        for ids in lists:
+            for i in ids:
+                found[i] = found.get(i, 0) + 1
+        near = [i for i, k in found.items() if k >= least]
         return [i for i in near if i < self.residue or 2 * len(self.bags[i].intersection(terms)) >= len(self.bags[i])]
 
 

@@ -15,7 +15,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame

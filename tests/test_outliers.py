@@ -24,17 +24,18 @@ def flags(spark, data, **k):
     return {r.tick_id: r for r in flag_ticks(spark.createDataFrame(data, SCHEMA), **k).collect()}
 
 
-def slow_departure(v, width=3, level=7):
+def slow_departure(v, width=3, levels=(5, 7)):
     n, out = len(v), []
     for i in range(n):
         if i in (0, n - 1):
             out.append(0.0)
             continue
-        b, a = np.median(v[max(0, i - level) : i]), np.median(v[i + 1 : i + 1 + level])
+        sides = [(np.median(v[max(0, i - k) : i]), np.median(v[i + 1 : i + 1 + k])) for k in levels]
         wins = [(max(0, j), min(n - 1, j + width)) for j in range(i - width, i + 1)]
         opened = max(min(v[x : y + 1]) for x, y in wins)
         closed = min(max(v[x : y + 1]) for x, y in wins)
-        out.append(max(0.0, min(v[i] - b, v[i] - a, v[i] - opened), min(b - v[i], a - v[i], closed - v[i])))
+        above, below = max(min(v[i] - b, v[i] - a) for b, a in sides), max(min(b - v[i], a - v[i]) for b, a in sides)
+        out.append(max(0.0, min(above, v[i] - opened), min(below, closed - v[i])))
     return out
 
 

@@ -24,12 +24,12 @@ from tideglass.session import materialise
 SLOT_ROWS = 50_000
 RUN = 12
 WIDTH = 3
-LEVEL = 7
+LEVELS = (5, 7)
 MOVES = 20.0
 VOLUMES = 100.0
 SERIES = ("price", "bid", "ask")
 #: Rows with a value that a decision looks at on either side.
-HALO = max(RUN, LEVEL + WIDTH) + 1
+HALO = max(RUN, max(LEVELS) + WIDTH) + 1
 
 
 def slots(ticks: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
@@ -64,22 +64,25 @@ def _windows(v: np.ndarray, width: int, fill: float) -> np.ndarray:
 def departure(v: np.ndarray) -> np.ndarray:
     """How far each value leaves what lies before and after it, if it does so for at most WIDTH values; else 0.
 
-    The smaller of two measures: the distance from the medians of LEVEL values on either side, and the height above the
-    opening (depth below the closing) by a window of WIDTH + 1, which keeps every plateau wider than WIDTH. Values that reach an
-    end of the series have only one side and get 0."""
+    The smaller of two measures: the distance from the levels on either side, and the height above the opening (depth below the
+    closing) by a window of WIDTH + 1, which keeps every plateau wider than WIDTH. A level is the median of five or of seven values,
+    whichever the value leaves further: seven outweigh another spike nearby, five a change of level soon after. Values that reach
+    an end of the series have only one side and get 0."""
     n = len(v)
     if n < 3:
         return np.zeros(n)
-    gap = np.full(LEVEL, np.nan)
-    around = np.lib.stride_tricks.sliding_window_view(np.concatenate([gap, v, gap]), LEVEL)
-    level = np.full((2, n), np.nan)
+    above, below = np.full(n, -np.inf), np.full(n, -np.inf)
     inner = slice(1, n - 1)
-    level[0, inner], level[1, inner] = np.nanmedian(around[1 : n - 1], axis=1), np.nanmedian(around[LEVEL + 2 : LEVEL + n], axis=1)
-    above, below = np.minimum(v - level[0], v - level[1]), np.minimum(level[0] - v, level[1] - v)
+    for size in LEVELS:
+        gap = np.full(size, np.nan)
+        around = np.lib.stride_tricks.sliding_window_view(np.concatenate([gap, v, gap]), size)
+        before, after = np.nanmedian(around[1 : n - 1], axis=1), np.nanmedian(around[size + 2 : size + n], axis=1)
+        above[inner] = np.maximum(above[inner], np.minimum(v[inner] - before, v[inner] - after))
+        below[inner] = np.maximum(below[inner], np.minimum(before - v[inner], after - v[inner]))
     k = WIDTH + 1
     opened = _windows(_windows(v, k, np.inf).min(axis=1)[: n + k - 1], k, -np.inf)[k - 1 : k - 1 + n].max(axis=1)
     closed = _windows(_windows(v, k, -np.inf).max(axis=1)[: n + k - 1], k, np.inf)[k - 1 : k - 1 + n].min(axis=1)
-    return np.nan_to_num(np.maximum(np.maximum(np.minimum(above, v - opened), np.minimum(below, closed - v)), 0.0))
+    return np.maximum(np.maximum(np.minimum(above, v - opened), np.minimum(below, closed - v)), 0.0)
 
 
 def stuck(same: np.ndarray, run: int = RUN) -> np.ndarray:

@@ -107,6 +107,8 @@ def _level(name: str) -> str:
       abs({name} - lag({name}) OVER w) AS move,
       median({name}) OVER (PARTITION BY sym, et // 86400000 ORDER BY et, tick_id ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS before,
       median({name}) OVER (PARTITION BY sym, et // 86400000 ORDER BY et, tick_id ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING) AS after,
+      median({name}) OVER (PARTITION BY sym, et // 86400000 ORDER BY et, tick_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS before5,
+      median({name}) OVER (PARTITION BY sym, et // 86400000 ORDER BY et, tick_id ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING) AS after5,
       min({name}) OVER (PARTITION BY sym, et // 86400000 ORDER BY et, tick_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS lo3,
       max({name}) OVER (PARTITION BY sym, et // 86400000 ORDER BY et, tick_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS hi3
     FROM usable WHERE {name} IS NOT NULL AND NOT isnan({name}) AND sym IS NOT NULL WINDOW w AS (PARTITION BY sym, et // 86400000 ORDER BY et, tick_id)),
@@ -116,8 +118,8 @@ def _level(name: str) -> str:
     FROM v_{name} WINDOW x AS (PARTITION BY sym, day ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)),
   s_{name} AS (SELECT tick_id FROM w_{name} JOIN (SELECT sym, day, median(move) AS m FROM v_{name} GROUP BY 1, 2) USING (sym, day)
     WHERE i > 1 AND i < n AND m > 0 AND greatest(
-      least(v - before, v - after, v - greatest(opened, CASE WHEN n - i < 3 THEN lo_rest ELSE opened END)),
-      least(before - v, after - v, least(closed, CASE WHEN n - i < 3 THEN hi_rest ELSE closed END) - v)) > 20 * m)"""
+      least(greatest(least(v - before, v - after), least(v - before5, v - after5)), v - greatest(opened, CASE WHEN n - i < 3 THEN lo_rest ELSE opened END)),
+      least(greatest(least(before - v, after - v), least(before5 - v, after5 - v)), least(closed, CASE WHEN n - i < 3 THEN hi_rest ELSE closed END) - v)) > 20 * m)"""
 
 
 def _stuck(name: str, same: str, known: str) -> str:

@@ -13,7 +13,7 @@ import duckdb
 
 def plain(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.9g}")
+        return "NaN" if math.isnan(v) else float(f"{v:.9g}")
     if isinstance(v, Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, datetime):

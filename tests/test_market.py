@@ -18,6 +18,10 @@ def one(spark, values, expr):
     return spark.createDataFrame([(values,)], "v array<double>").select(expr(F.col("v")).alias("x")).first().x
 
 
+def rsi(values):
+    return ind.rsi_wilder_seeded(ind.steps_of(values))
+
+
 def slow_rsi(v, n=14):
     g = low = 0.0
     for k, (a, b) in enumerate(zip(v, v[1:]), 1):
@@ -40,9 +44,9 @@ def test_rsi_edges(spark):
     r = random.Random(1)
     for n in (1, 2, 14, 15, 16, 40):
         v = [round(100 + r.uniform(-1, 1), 2) for _ in range(n)]
-        assert math.isclose(one(spark, v, ind.rsi_wilder_seeded), slow_rsi(v), rel_tol=1e-12)
+        assert math.isclose(one(spark, v, rsi), slow_rsi(v), rel_tol=1e-12)
     up = [float(x) for x in range(20)]
-    assert one(spark, up, ind.rsi_wilder_seeded) == 100.0 and one(spark, up, ind.rsi_running) == 50.0
+    assert one(spark, up, rsi) == 100.0 and one(spark, up, lambda v: ind.rsi_running(ind.steps_of(v))) == 50.0
 
 
 def test_bounds(spark):
@@ -51,23 +55,68 @@ def test_bounds(spark):
     def check(v):
         e = one(spark, v, lambda x: ind.ema(x, 12))
         assert min(v) - 1e-9 <= e <= max(v) + 1e-9
-        assert 0 <= one(spark, v, ind.rsi_wilder_seeded) <= 100
+        assert 0 <= one(spark, v, rsi) <= 100
 
     check()
 
 
-def test_recent_equals_whole_history(spark):
+def plain_ema(v, n):
+    e = v[0]
+    for x in v[1:]:
+        e = x * (2 / (n + 1)) + e * (1 - 2 / (n + 1))
+    return e
+
+
+def plain_signal(v):
+    a = b = last = v[0]
+    line, n, g, low, rs, before = 0.0, 0, 0.0, 0.0, [50.0], None
+    for p in v[1:]:
+        before = a - b
+        a, b = p * (2 / 13) + a * (1 - 2 / 13), p * (2 / 27) + b * (1 - 2 / 27)
+        line = (a - b) * 0.2 + line * 0.8
+        up, down, n = max(p - last, 0.0), max(last - p, 0.0), n + 1
+        g, low = (g + up, low + down) if n < 14 else ((g + up) / 14, (low + down) / 14) if n == 14 else (up / 14 + g * 13 / 14, down / 14 + low * 13 / 14)
+        rs.append(50.0 if n < 14 else 100.0 if low == 0 else 100 - 100 / (1 + g / low))
+        last = p
+    return a - b, before, line, sum(rs[-5:]) / 5 if len(rs) >= 5 else 0.0
+
+
+def test_pieces_equal_plain_loops(spark):
+    """Shards of every size around the seeds, one long shard, and a flat end that a cut history would get wrong."""
     r = random.Random(2)
-    v, p = [], 100.0
-    for i in range(2500):
-        p += r.uniform(-1, 1)
-        v.append(("A", T0 + i, i, p))
+    for n, shard, gap in ((1, 1000, 1), (4, 1000, 1), (16, 7, 1), (20, 20, 1), (21, 21, 1), (60, 17, 1), (400, 40, 1), (400, 3_600_000, 1), (5000, 50_000, 37)):
+        v, p = [], 100.0
+        for i in range(n):
+            p += r.uniform(-1, 1) if i < n * 0.6 else 0.0 if i < n * 0.9 else r.choice([0.0, 0.01])
+            v.append(("A", T0 + i * gap, i, p))
+        r.shuffle(v)
+        df = spark.createDataFrame(v, "symbol string, event_ms bigint, tick_id bigint, price double")
+        s = F.col("series")
+        pieces = ind.pieces(df, "symbol", ("event_ms", "tick_id"), "price", (12, 26, 50, 200), rsi=True, signal=True, shard_ms=shard)
+        got = pieces.select(ind.long_ema(s, 50).alias("e50"), ind.long_ema(s, 200).alias("e200"), ind.rsi_wilder_seeded(s).alias("rsi"), ind.signal_series(s).alias("x")).first()
+        plain = [x[3] for x in sorted(v)]
+        close = lambda a, b: (a is None and b is None) or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-10)
+        assert close(got.e50, plain_ema(plain, 50)) and close(got.e200, plain_ema(plain, 200)) and close(got.rsi, slow_rsi(plain)), (n, shard)
+        assert all(map(close, got.x, plain_signal(plain))), (n, shard, got.x, plain_signal(plain))
+
+
+def test_long_series_in_one_hour_and_over_many(spark):
+    n = 100_000
+    v = [("A", T0 + i * 36, i, 100 + math.sin(i / 700) * 3 + (i * 7919 % 101) / 50) for i in range(n)]
     df = spark.createDataFrame(v, "symbol string, event_ms bigint, tick_id bigint, price double")
-    got = m.tick_series(df).select(ind.ema(ind.prices(F.col("series")), 50).alias("e"), ind.rsi_wilder_seeded(ind.prices(F.col("series"))).alias("r"), F.size("series").alias("n")).first()
-    e = v[0][3]
-    for x in v[1:]:
-        e = x[3] * (2 / 51) + e * (1 - 2 / 51)
-    assert got.n == ind.KEEP and math.isclose(got.e, e, rel_tol=1e-14) and math.isclose(got.r, slow_rsi([x[3] for x in v]), rel_tol=1e-12)
+    got = m.tick_pieces(df, 50, 200, 3000).select(*(ind.long_ema(F.col("series"), k).alias(f"e{k}") for k in (50, 200, 3000))).first()
+    for k in (50, 200, 3000):
+        assert math.isclose(got[f"e{k}"], plain_ema([x[3] for x in v], k), rel_tol=1e-12)
+
+
+def test_small_prices_keep_their_digits(spark):
+    rows = [("A", T0, 1, 0.00001234, 3), ("A", T0 + 1, 2, 1.08765432, 1), ("A", T0 + 2, 3, 1.08765432, 2), ("B", T0, 4, 1e20, 1), ("B", T0, 5, 1.0, None)]
+    df = spark.createDataFrame(rows, "symbol string, event_ms bigint, tick_id bigint, price double, volume bigint")
+    got = {r.symbol: r.avg_price for r in m.stats(df).collect()}
+    assert got == {"A": (0.00001234 + 2 * 1.08765432) / 3, "B": (1e20 + 1) / 2}
+    w = {r.tick_id: (r.sma, r.vwap) for r in m.trailing(df).collect()}
+    assert w[1] == (0.00001234, 0.00001234) and w[2][0] == (0.00001234 + 1.08765432) / 2 and math.isclose(w[3][1], (3 * 0.00001234 + 3 * 1.08765432) / 6, rel_tol=1e-15) and w[4][0] == (1e20 + 1) / 2
+    assert {r.avg_price for r in m.sliding_rollup(df).where("symbol = 'A'").collect()} == {(0.00001234 + 2 * 1.08765432) / 3}
 
 
 def test_trading_engine(spark):
@@ -82,6 +131,11 @@ def test_md5_partition_published(spark):
     assert [r.p for r in df.select(f.md5_partition(F.col("s"), 3).alias("p")).collect()] == [0, 0, 0, 0, None]
 
 
+def test_nan_is_null(spark):
+    r = m.enrich(spark.createDataFrame([(T0, float("nan"), 1.0, 2.0, 1.0)], "event_ms bigint, bid double, ask double, high double, low double")).first()
+    assert (r.bid, r.spread, r.mid_price, r.price_range) == (None, None, None, 1.0)
+
+
 def test_enrich_published_and_null(spark):
     schema = "event_ms bigint, bid double, ask double, high double, low double"
     rows = m.enrich(spark.createDataFrame([(T0, 518.49, 519.5, 2.0, 1.0), (T0, None, 1.0, None, 1.0)], schema)).collect()

@@ -20,10 +20,21 @@ def good(column: str) -> Column:
     return c(column).isNotNull() & ~F.isnan(column)
 
 
+#: Sums are taken over decimals of twelve places, so that the result doesn't depend on the order of rows; a group with a value that is too
+#: great for that is summed in doubles.
+PLACES, PRODUCT = "decimal(28,12)", ("decimal(24,12)", "decimal(13,0)")
+
+
+def _exact(decimal: Column, plain: Column, over=lambda x: x) -> Column:
+    """The sum of `decimal`, which is null where it overflows, or else that of the doubles `plain`."""
+    whole = over(F.count(decimal)) == over(F.count(plain))
+    return F.coalesce(F.when(whole, over(F.try_sum(decimal)).cast("double")), over(F.sum(plain)))
+
+
 def exact_mean(x: Column) -> Column:
-    """The mean by a sum of decimals (four places), which doesn't depend on the order of rows; NaN counts as null."""
+    """The mean, whatever the order of rows; NaN counts as null."""
     value = F.when(~F.isnan(x), x)
-    return F.sum(value.cast("decimal(18,4)")).cast("double") / F.count(value)
+    return _exact(value.try_cast(PLACES), value) / F.count(value)
 
 
 def market_ticks(ticks: DataFrame, *columns: str) -> DataFrame:
@@ -31,8 +42,9 @@ def market_ticks(ticks: DataFrame, *columns: str) -> DataFrame:
 
 
 def enrich(ticks: DataFrame) -> DataFrame:
-    """All columns, the event time as a timestamp, spread, mid_price and price_range. Null in, null out."""
-    return ticks.withColumns({
+    """All columns, the event time as a timestamp, spread, mid_price and price_range. Null in, null out; NaN in a double is null."""
+    clean = {f.name: F.when(~F.isnan(f.name), c(f.name)) for f in ticks.schema.fields if f.dataType.typeName() in ("double", "float")}
+    return ticks.withColumns(clean).withColumns({
         "event_time": F.timestamp_millis("event_ms"),
         "spread": c("ask") - c("bid"),
         "mid_price": (c("ask") + c("bid")) / 2,
@@ -62,13 +74,14 @@ def daily_bars(ticks: DataFrame, width: int = DAY_MS) -> DataFrame:
     )
 
 
-def tick_series(ticks: DataFrame) -> DataFrame:
-    return ind.recent(ticks, "symbol", ["event_ms", "tick_id"], ["price"])
+def tick_pieces(ticks: DataFrame, *emas: int, rsi: bool = False, signal: bool = False) -> DataFrame:
+    """symbol, series: the prices of each symbol as steps for the indicators."""
+    return ind.pieces(ticks, "symbol", ("event_ms", "tick_id"), "price", emas, rsi, signal)
 
 
 def bar_series(bars: DataFrame) -> DataFrame:
     """symbol, series of all bars: as many as the calendar has days."""
-    return ind.recent(bars, "symbol", ["start"], ["open", "high", "low", "close", "volume"], keep=100_000)
+    return ind.recent(bars, "symbol", ["start"], ["open", "high", "low", "close", "volume"])
 
 
 def trailing(ticks: DataFrame, width_ms: int = 300_000, shard_ms: int = SHARD_MS) -> DataFrame:
@@ -79,21 +92,20 @@ def trailing(ticks: DataFrame, width_ms: int = 300_000, shard_ms: int = SHARD_MS
     home = div(c("event_ms"), shard_ms)
     spread_ = ticks.select("symbol", "event_ms", "tick_id", "price", F.coalesce("volume", F.lit(0)).alias("volume"), home.alias("home"), F.explode(F.sequence(home, div(c("event_ms") + width_ms, shard_ms))).alias("shard"))
     w = Window.partitionBy("symbol", "shard").orderBy("event_ms").rangeBetween(-width_ms, 0)
-    # Decimals, so that the sums don't depend on the order of rows.
-    price = c("price").cast("decimal(14,4)")
+    over = lambda x: x.over(w)
     volume = F.sum("volume").over(w)
-    mean = F.sum(price).over(w).cast("double") / F.count(F.lit(1)).over(w)
-    value = F.sum(price * c("volume").cast("decimal(14,0)")).over(w).cast("double")
+    mean = _exact(c("price").try_cast(PLACES), c("price"), over) / F.count(F.lit(1)).over(w)
+    value = _exact(F.try_multiply(c("price").try_cast(PRODUCT[0]), c("volume").try_cast(PRODUCT[1])), c("price") * c("volume"), over)
     out = spread_.select("symbol", "event_ms", "tick_id", "home", "shard", mean.alias("sma"), F.when(volume != 0, value / volume).otherwise(0.0).alias("vwap"))
     return out.where(c("home") == c("shard")).drop("home", "shard")
 
 
 def sliding_rollup(ticks: DataFrame, width_ms: int = 300_000, hop_ms: int = 60_000) -> DataFrame:
     """symbol, window_start, avg_price, total_volume of sliding windows; aggregated by hop first, so only sums are copied."""
-    hops = ticks.groupBy("symbol", period_start(c("event_ms"), hop_ms).alias("hop")).agg(F.sum(c("price").cast("decimal(14,4)")).alias("p"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("volume"), F.lit(0)).alias("v"))
+    hops = ticks.groupBy("symbol", period_start(c("event_ms"), hop_ms).alias("hop")).agg(F.try_sum(c("price").try_cast(PLACES)).alias("d"), F.count(c("price").try_cast(PLACES)).alias("k"), F.sum("price").alias("p"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("volume"), F.lit(0)).alias("v"))
     starts = F.sequence(c("hop") - (width_ms - hop_ms), c("hop"), F.lit(hop_ms).cast("bigint"))
     wide = hops.withColumn("window_start", F.explode(starts))
-    return wide.groupBy("symbol", "window_start").agg((F.sum("p").cast("double") / F.sum("n")).alias("avg_price"), F.sum("v").alias("total_volume"))
+    return wide.groupBy("symbol", "window_start").agg((F.coalesce(F.when(F.sum("k") == F.sum("n"), F.try_sum("d").cast("double")), F.sum("p")) / F.sum("n")).alias("avg_price"), F.sum("v").alias("total_volume"))
 
 
 def changes(ticks: DataFrame) -> DataFrame:
@@ -126,12 +138,13 @@ def features(ticks: DataFrame, mode: str = "series") -> DataFrame:
 
     mode `series`: the signal line is EMA-9 over the series of MACD, and RSI is smoothed over its last five. mode `reference`:
     both are taken over the one latest row, so the signal line equals MACD and the smoothed RSI never fills and is 0."""
-    base = tick_series(ticks).withColumn("v", ind.prices(c("series"))).drop("series")
-    base = base.withColumns({f"ema_{n}": ind.ema(c("v"), n) for n in (6, 10, 12, 13, 20, 26, 50)} | {"rsi": ind.rsi_wilder_seeded(c("v"))})
+    emas = (6, 10, 12, 13, 20, 26, 50)
+    base = tick_pieces(ticks, *emas, rsi=True, signal=mode == "series")
+    base = base.withColumns({f"ema_{n}": ind.long_ema(c("series"), n) for n in emas} | {"rsi": ind.rsi_wilder_seeded(c("series"))})
     if mode == "series":
-        base = base.withColumn("s", ind.signal_series(c("v"))).select("*", "s.macd_signal", "s.rsi_smoothed").drop("s")
+        base = base.withColumn("s", ind.signal_series(c("series"))).select("*", "s.macd_signal", "s.rsi_smoothed").drop("s")
     last = latest(ticks).select("symbol", "price", "high", "low", "event_ms")
-    rows = base.drop("v").join(last, "symbol").withColumn("macd", c("ema_12") - c("ema_26"))
+    rows = base.drop("series").join(last, "symbol").withColumn("macd", c("ema_12") - c("ema_26"))
     if mode == "reference":
         rows = rows.withColumns({"macd_signal": c("macd"), "rsi_smoothed": F.lit(0.0)})
     rows = rows.withColumns({"bull_power": c("high") - c("ema_13"), "bear_power": c("low") - c("ema_13")})
@@ -163,25 +176,13 @@ def portfolio(bars: DataFrame, mode: str = "series", cash: float = 10000.0) -> D
     if mode == "reference":
         state = F.struct(F.lit(cash).alias("cash"), F.lit(0.0).alias("position"), F.lit(0).alias("trades"), F.expr("cast(array() as array<string>)").alias("log"))
     else:
-        state = ind.trading_state(macd_states(c("v")), cash)
+        state = ind.macd_trading(c("v"), cash)
     rows = s.withColumn("t", state).select("symbol", F.get("v", F.size("v") - 1).alias("current_price"), c("t.cash").alias("cash"), c("t.position").alias("position"), c("t.trades").alias("total_trades"), F.array_join("t.log", ";").alias("trade_log"))
     rows = rows.withColumn("portfolio_value", c("cash") + c("position") * c("current_price")).withColumn("pnl", c("portfolio_value") - cash)
     gain = c("pnl") / cash
     return rows.withColumns({"pnl_percentage": gain * 100, "sharpe_ratio": F.when(gain == 0, 0.0).otherwise(F.round(gain * 252 / 0.16, 4))})
 
 
-def macd_states(values: Column) -> Column:
-    """structs of price and the sign of MACD after it, for each value of a daily series."""
-    first = F.struct(F.get(values, F.lit(0)).alias("a"), F.get(values, F.lit(0)).alias("b"), F.array(F.struct(F.get(values, F.lit(0)).alias("price"), F.lit(0).alias("state"))).alias("out"))
-
-    def step(s: Column, p: Column) -> Column:
-        smooth = lambda old, n: p * F.lit(2.0 / (n + 1)) + old * F.lit(1.0 - 2.0 / (n + 1))
-        a, b = smooth(s["a"], 12), smooth(s["b"], 26)
-        return F.struct(a.alias("a"), b.alias("b"), F.concat(s["out"], F.array(F.struct(p.alias("price"), F.when(a > b, 1).when(a < b, -1).otherwise(0).alias("state")))).alias("out"))
-
-    return F.aggregate(F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0))), first, step, lambda s: s["out"])
-
-
 def sharpe(bars: DataFrame, risk_free: float = 0.02) -> DataFrame:
     """symbol, sharpe_ratio of the daily returns of closes: population deviation, 0.001 where that is 0; 0 below two returns."""
     before = F.lag("close").over(Window.partitionBy("symbol").orderBy("start"))
@@ -196,7 +197,7 @@ def quotes(ticks: DataFrame, kind: str) -> DataFrame:
     """Messages of an asset class from raw quotes (symbol, price, volume, event_ms): what each producer derives."""
     sent = ticks.select(c("event_ms").alias("timestamp"), "symbol", "price", "volume")
     if kind == "stock":
-        cents = lambda by: F.round(c("price").cast("decimal(14,4)") * F.lit(by).cast("decimal(5,4)"), 2).cast("double")
+        cents = lambda by: F.round(c("price").cast("decimal(28,12)") * F.lit(by).cast("decimal(5,4)"), 2).cast("double")
         return sent.withColumns({"bid": cents("0.9995"), "ask": cents("1.0005"), "partition": md5_partition(c("symbol"), 3)})
     if kind == "crypto":
         return sent.withColumn("symbol", F.regexp_replace("symbol", "-USD$", ""))

@@ -15,18 +15,22 @@ c = F.col
 CRYPTO = ("BTC", "ETH", "BNB", "SOL", "ADA", "DOGE", "XRP", "MATIC")
 
 
+def is_crypto(symbol: Column) -> Column:
+    return symbol.rlike("|".join(CRYPTO))
+
+
 def _of(df: DataFrame, symbol: str | None) -> DataFrame:
     return df if not symbol else df.where(c("symbol") == symbol.upper())
 
 
 def ohlcv(bars: DataFrame, symbol: str | None = None, start_time: int = 0, end_time: int = 0, limit: int = 100) -> DataFrame:
-    """Bars within both times, the newest first."""
+    """Bars within both times, the newest first; ties by symbol, then tick_id where there is one."""
     out = _of(bars, symbol)
     if start_time:
         out = out.where(c("timestamp") >= start_time)
     if end_time:
         out = out.where(c("timestamp") <= end_time)
-    return out.orderBy(F.desc("timestamp"), "symbol").limit(min(limit, 1000))
+    return out.orderBy(F.desc("timestamp"), "symbol", *(F.desc(x) for x in bars.columns if x == "tick_id")).limit(min(limit, 1000))
 
 
 def features(rows: DataFrame, symbol: str | None = None, limit: int = 100) -> DataFrame:
@@ -62,7 +66,7 @@ def latest(bars: DataFrame, rows: DataFrame, symbol: str | None = None) -> DataF
 
 def leaderboard(rows: DataFrame, category: str = "all", sort_by: str = "volume", limit: int = 50) -> DataFrame:
     """rank and row; category: all, crypto or stocks; by volume, price or change_percent (missing as 0), else by symbol."""
-    crypto = c("symbol").rlike("|".join(CRYPTO))
+    crypto = is_crypto(c("symbol"))
     kept = rows.where(crypto) if category == "crypto" else rows.where(~crypto) if category == "stocks" else rows
     order: list[Column] = [F.coalesce(c(sort_by), F.lit(0)).desc()] if sort_by in ("volume", "price", "change_percent") else []
     top = kept.orderBy(*order, "symbol").limit(limit)
@@ -81,8 +85,8 @@ def top_movers(rows: DataFrame, limit: int = 10) -> DataFrame:
     return gain.unionByName(lose)
 
 
-def search(rows: DataFrame, query: str, limit: int = 20) -> DataFrame:
-    return rows.where(F.upper("symbol").contains(query.upper())).orderBy("symbol").limit(limit)
+def search(rows: DataFrame, query: str, limit: int = 20, column: str = "symbol") -> DataFrame:
+    return rows.where(F.upper(column).contains(query.upper())).orderBy(column).limit(limit)
 
 
 def live(bars: DataFrame, rows: DataFrame, symbol: str, limit: int = 10) -> DataFrame:

@@ -35,7 +35,8 @@ def _ticks(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return m.market_ticks(table(spark, folder, "ticks"), "volume", *columns)
 
 
-@query(f"""WITH {USABLE} SELECT tick_id, sym AS symbol, price, volume, bid, ask, high, low, open, partition, make_timestamp(et * 1000) AS event_time, ask - bid AS spread, (ask + bid) / 2 AS mid_price, high - low AS price_range FROM usable""")
+@query(f"""WITH {USABLE} SELECT tick_id, sym AS symbol, CASE WHEN NOT isnan(price) THEN price END AS price, volume, bid, ask, high, low, open, partition, make_timestamp(et * 1000) AS event_time, ask - bid AS spread, (ask + bid) / 2 AS mid_price, high - low AS price_range
+  FROM (SELECT * REPLACE (CASE WHEN NOT isnan(bid) THEN bid END AS bid, CASE WHEN NOT isnan(ask) THEN ask END AS ask, CASE WHEN NOT isnan(high) THEN high END AS high, CASE WHEN NOT isnan(low) THEN low END AS low, CASE WHEN NOT isnan(open) THEN open END AS open) FROM usable)""")
 def enrich_ticks(spark, folder):
     ticks = usable_ticks(table(spark, folder, "ticks"), "price", "volume", "bid", "ask", "high", "low", "open", "partition")
     return m.enrich(ticks).drop("event_ms", "time")
@@ -51,7 +52,12 @@ def event_time_cast(spark, folder):
     return usable_ticks(table(spark, folder, "ticks"), symbol=False).select("tick_id", F.timestamp_millis("event_ms").alias("event_time"))
 
 
-_MEAN = "CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / count(*)"
+def _sum(x: str, over: str = "", kind: str = "DECIMAL(28,12)") -> str:
+    """The exact sum as a double: text keeps all digits on the way in and out."""
+    return f"CAST(CAST(sum(CAST(CAST({x} AS VARCHAR) AS {kind})) {over} AS VARCHAR) AS DOUBLE)"
+
+
+_MEAN = f"{_sum('price')} / count(*)"
 _STATS = f"count(*) AS count, {_MEAN} AS avg_price, max(price) AS max_price, min(price) AS min_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume, max(price) - min(price) AS price_range, CAST(coalesce(sum(volume), 0) AS DOUBLE) / count(*) AS avg_volume"
 
 
@@ -70,7 +76,7 @@ def partition_stats(spark, folder):
     return out.select(c("partition").alias("partition_id"), c("count").alias("message_count"), "avg_price", "total_volume")
 
 
-@query(f"WITH {TICKS}, e AS (SELECT sym AS symbol, price, CASE WHEN NOT isnan(ask - bid) THEN ask - bid END AS spread, CASE WHEN NOT isnan(ask + bid) THEN (ask + bid) / 2 END AS mid FROM m) SELECT symbol, count(*) AS count, {_MEAN} AS avg_price, CAST(sum(CAST(spread AS DECIMAL(18,4))) AS DOUBLE) / count(spread) AS avg_spread, CAST(sum(CAST(mid AS DECIMAL(18,4))) AS DOUBLE) / count(mid) AS avg_mid_price FROM e GROUP BY 1")
+@query(f"WITH {TICKS}, e AS (SELECT sym AS symbol, price, CASE WHEN NOT isnan(ask - bid) THEN ask - bid END AS spread, CASE WHEN NOT isnan(ask + bid) THEN (ask + bid) / 2 END AS mid FROM m) SELECT symbol, count(*) AS count, {_MEAN} AS avg_price, {_sum('spread')} / count(spread) AS avg_spread, {_sum('mid')} / count(mid) AS avg_mid_price FROM e GROUP BY 1")
 def symbol_spread_stats(spark, folder):
     rows = m.enrich(_ticks(spark, folder, "bid", "ask", "high", "low"))
     mean = lambda x: m.exact_mean(c(x)).alias(f"avg_{x}")
@@ -97,15 +103,15 @@ def latest_per_symbol(spark, folder):
 @query(f"WITH {TICKS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY sym ORDER BY et DESC, tick_id DESC) AS place FROM m), s AS (SELECT sym AS symbol, list(price ORDER BY et, tick_id) AS v FROM m WHERE volume IS NOT NULL GROUP BY 1) SELECT r.sym AS symbol, r.price, round({ema_sql('s.v', 12)}, 6) AS ema_12, round({ema_sql('s.v', 26)}, 6) AS ema_26 FROM ranked r LEFT JOIN s ON s.symbol = r.sym WHERE r.place = 1")
 def latest_with_features(spark, folder):
     ticks = _ticks(spark, folder)
-    series = m.tick_series(ticks.where(c("volume").isNotNull())).withColumn("v", ind.prices(c("series")))
-    feats = series.select("symbol", F.round(ind.ema(c("v"), 12), 6).alias("ema_12"), F.round(ind.ema(c("v"), 26), 6).alias("ema_26"))
+    series = m.tick_pieces(ticks.where(c("volume").isNotNull()), 12, 26)
+    feats = series.select("symbol", *(F.round(ind.long_ema(c("series"), n), 6).alias(f"ema_{n}") for n in (12, 26)))
     return m.latest(ticks).select("symbol", "price").join(feats, "symbol", "left")
 
 
 @query(f"WITH {TICKS} SELECT et AS timestamp, tick_id, sym AS symbol, price AS close, volume FROM m WHERE sym = 'WIFUQ' AND et BETWEEN 1757900000000 AND 1759900000000 ORDER BY et DESC, tick_id DESC LIMIT 100")
 def ohlcv_range_filter(spark, folder):
-    rows = _ticks(spark, folder).where((c("symbol") == F.upper(F.lit("wifuq"))) & c("event_ms").between(1757900000000, 1759900000000))
-    return rows.orderBy(F.desc("event_ms"), F.desc("tick_id")).limit(100).select(c("event_ms").alias("timestamp"), "tick_id", "symbol", c("price").alias("close"), "volume")
+    rows = _ticks(spark, folder).withColumnRenamed("event_ms", "timestamp")
+    return sv.ohlcv(rows, "wifuq", 1757900000000, 1759900000000).select("timestamp", "tick_id", "symbol", c("price").alias("close"), "volume")
 
 
 @query(f"WITH {TICKS} SELECT DISTINCT sym AS symbol FROM m ORDER BY 1")
@@ -169,12 +175,12 @@ def price_change(spark, folder):
 
 @query("SELECT ticker, company_name FROM cik_map WHERE upper(ticker) LIKE '%QU%' ORDER BY ticker LIMIT 20")
 def symbol_search(spark, folder):
-    return table(spark, folder, "cik_map").where(F.upper("ticker").contains("QU")).orderBy("ticker").limit(20).select("ticker", "company_name")
+    return sv.search(table(spark, folder, "cik_map"), "qu", column="ticker").select("ticker", "company_name")
 
 
-@query(f"WITH {TICKS} SELECT sym AS symbol, CASE WHEN regexp_matches(sym, 'BTC|ETH|XU|ZU') THEN 'crypto' ELSE 'stock' END AS asset_class, count(*) AS n FROM m GROUP BY 1, 2")
+@query(f"WITH {TICKS} SELECT sym AS symbol, CASE WHEN regexp_matches(sym, '{'|'.join(sv.CRYPTO)}') THEN 'crypto' ELSE 'stocks' END AS asset_class, count(*) AS n FROM m GROUP BY 1, 2")
 def asset_class_filter(spark, folder):
-    kind = F.when(c("symbol").rlike("BTC|ETH|XU|ZU"), "crypto").otherwise("stock")
+    kind = F.when(sv.is_crypto(c("symbol")), "crypto").otherwise("stocks")
     return _ticks(spark, folder).groupBy("symbol", kind.alias("asset_class")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -183,14 +189,14 @@ _EMAS = (6, 10, 12, 13, 20, 26, 50)
 
 @query(f"WITH {SERIES} SELECT symbol, {', '.join(f'round({ema_sql("v", n)}, 6) AS ema_{n}' for n in _EMAS)} FROM ser")
 def ema_all(spark, folder):
-    s = m.tick_series(_ticks(spark, folder)).withColumn("v", ind.prices(c("series")))
-    return s.select("symbol", *(F.round(ind.ema(c("v"), n), 6).alias(f"ema_{n}") for n in _EMAS))
+    s = m.tick_pieces(_ticks(spark, folder), *_EMAS)
+    return s.select("symbol", *(F.round(ind.long_ema(c("series"), n), 6).alias(f"ema_{n}") for n in _EMAS))
 
 
 @query(f"WITH {SERIES} SELECT symbol, round({ema_sql('v', 12)} - {ema_sql('v', 26)}, 6) AS macd FROM ser")
 def macd(spark, folder):
-    s = m.tick_series(_ticks(spark, folder)).withColumn("v", ind.prices(c("series")))
-    return s.select("symbol", F.round(ind.ema(c("v"), 12) - ind.ema(c("v"), 26), 6).alias("macd"))
+    s = m.tick_pieces(_ticks(spark, folder), 12, 26)
+    return s.select("symbol", F.round(ind.long_ema(c("series"), 12) - ind.long_ema(c("series"), 26), 6).alias("macd"))
 
 
 @query(f"WITH {SERIES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY sym ORDER BY et DESC, tick_id DESC) AS place FROM m) SELECT ser.symbol AS symbol, round(high - {ema_sql('v', 13)}, 6) AS bull_power, round(low - {ema_sql('v', 13)}, 6) AS bear_power FROM ser JOIN ranked ON ranked.sym = ser.symbol WHERE place = 1")
@@ -213,35 +219,36 @@ def _rsi_sql(rule: str, start: str, empty: str) -> str:
 
 @query(_rsi_sql(_SEEDED, "0", "CASE WHEN z.n < 14 THEN 50 WHEN z.l = 0 THEN 100 ELSE 100 - 100 / (1 + z.g / z.l) END"))
 def rsi_wilder_seeded(spark, folder):
-    s = m.tick_series(_ticks(spark, folder))
-    return s.select("symbol", F.round(ind.rsi_wilder_seeded(ind.prices(c("series"))), 6).alias("rsi"))
+    s = m.tick_pieces(_ticks(spark, folder), rsi=True)
+    return s.select("symbol", F.round(ind.rsi_wilder_seeded(c("series")), 6).alias("rsi"))
 
 
 @query(_rsi_sql(_RUNNING, "1", "CASE WHEN z.n < 2 OR z.l = 0 THEN 50 ELSE 100 - 100 / (1 + z.g / z.l) END"))
 def rsi_running(spark, folder):
-    s = m.tick_series(_ticks(spark, folder))
-    return s.select("symbol", F.round(ind.rsi_running(ind.prices(c("series"))), 6).alias("rsi"))
+    s = m.tick_pieces(_ticks(spark, folder), rsi=True)
+    return s.select("symbol", F.round(ind.rsi_running(c("series")), 6).alias("rsi"))
 
 
 @query(f"WITH {SERIES} SELECT symbol, round(CASE WHEN len(v) >= 5 THEN list_sum(v[-5:]) / 5 ELSE 0 END, 6) AS sma FROM ser")
 def sma_last5(spark, folder):
-    return m.tick_series(_ticks(spark, folder)).select("symbol", F.round(ind.sma_last(ind.prices(c("series"))), 6).alias("sma"))
+    s = ind.recent(_ticks(spark, folder), "symbol", ["event_ms", "tick_id"], ["price"], keep=5)
+    return s.select("symbol", F.round(ind.sma_last(ind.prices(c("series"))), 6).alias("sma"))
 
 
 _TRAIL = "OVER (PARTITION BY sym ORDER BY et RANGE BETWEEN 300000 PRECEDING AND CURRENT ROW)"
 
 
-@query(f"WITH {TICKS} SELECT tick_id, sym AS symbol, CAST(sum(CAST(price AS DECIMAL(18,4))) {_TRAIL} AS DOUBLE) / count(*) {_TRAIL} AS sma FROM m")
+@query(f"WITH {TICKS} SELECT tick_id, sym AS symbol, {_sum('price', _TRAIL)} / count(*) {_TRAIL} AS sma FROM m")
 def sma_5min(spark, folder):
     return m.trailing(_ticks(spark, folder)).select("tick_id", "symbol", "sma")
 
 
-@query(f"WITH {TICKS}, z AS (SELECT *, coalesce(volume, 0) AS vol FROM m) SELECT tick_id, sym AS symbol, CASE WHEN sum(vol) {_TRAIL} <> 0 THEN CAST(sum(CAST(price AS DECIMAL(14,4)) * CAST(vol AS DECIMAL(14,0))) {_TRAIL} AS DOUBLE) / CAST(sum(vol) {_TRAIL} AS DOUBLE) ELSE 0 END AS vwap FROM z")
+@query(f"WITH {TICKS}, z AS (SELECT *, coalesce(volume, 0) AS vol FROM m) SELECT tick_id, sym AS symbol, CASE WHEN sum(vol) {_TRAIL} <> 0 THEN CAST(CAST(sum(CAST(CAST(price AS VARCHAR) AS DECIMAL(24,12)) * CAST(vol AS DECIMAL(13,0))) {_TRAIL} AS VARCHAR) AS DOUBLE) / CAST(sum(vol) {_TRAIL} AS DOUBLE) ELSE 0 END AS vwap FROM z")
 def vwap_5min(spark, folder):
     return m.trailing(_ticks(spark, folder)).select("tick_id", "symbol", "vwap")
 
 
-@query(f"WITH {TICKS} SELECT sym AS symbol, w AS window_start, CAST(sum(CAST(price AS DECIMAL(14,4))) AS DOUBLE) / count(*) AS avg_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume FROM (SELECT *, unnest(generate_series(et - et % 60000 - 240000, et - et % 60000, 60000)) AS w FROM m) GROUP BY 1, 2")
+@query(f"WITH {TICKS} SELECT sym AS symbol, w AS window_start, {_MEAN} AS avg_price, CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume FROM (SELECT *, unnest(generate_series(et - et % 60000 - 240000, et - et % 60000, 60000)) AS w FROM m) GROUP BY 1, 2")
 def sliding_rollup_5m_1m(spark, folder):
     return m.sliding_rollup(_ticks(spark, folder))
 
@@ -356,19 +363,20 @@ def trading_signals_only(spark, folder):
 
 @query(f"WITH {SERIES}, z AS (SELECT symbol, {ema_sql('v', 12)} - {ema_sql('v', 26)} AS x FROM ser) SELECT symbol, round(x, 6) AS macd, round(x * 0.9, 6) AS macd_signal, round(x - x * 0.9, 6) AS macd_histogram, CASE WHEN x > x * 0.9 * 1.05 THEN 'BUY' WHEN x < x * 0.9 * 0.95 THEN 'SELL' ELSE 'HOLD' END AS action FROM z")
 def macd_action(spark, folder):
-    s = m.tick_series(_ticks(spark, folder)).withColumn("v", ind.prices(c("series"))).select("symbol", (ind.ema(c("v"), 12) - ind.ema(c("v"), 26)).alias("macd"))
+    s = m.tick_pieces(_ticks(spark, folder), 12, 26).select("symbol", (ind.long_ema(c("series"), 12) - ind.long_ema(c("series"), 26)).alias("macd"))
     line, rest, action = m.action_of(c("macd"))
     return _rounded(s.select("symbol", "macd", line.alias("macd_signal"), rest.alias("macd_histogram"), action.alias("action")), "macd", "macd_signal", "macd_histogram")
 
 
-@query(f"""WITH {SERIES}, z AS (SELECT symbol, {ema_sql('v', 12)} - {ema_sql('v', 26)} AS x, CASE WHEN len(v) > 1 THEN {ema_sql('v[:-2]', 12)} - {ema_sql('v[:-2]', 26)} END AS y FROM ser)
-SELECT symbol, CASE WHEN x > 0.9 * x AND y <= 0.9 * x THEN 'BUY' WHEN x < 0.9 * x AND y >= 0.9 * x THEN 'SELL' ELSE 'HOLD' END AS action FROM z""")
+_LINE = f"list_reduce(list_transform(v, lambda p: {{'a': p, 'b': p, 's': 0::DOUBLE}}), lambda s, x: {{'a': x.a * (2::DOUBLE / 13) + s.a * (1 - 2::DOUBLE / 13), 'b': x.a * (2::DOUBLE / 27) + s.b * (1 - 2::DOUBLE / 27), 's': ((x.a * (2::DOUBLE / 13) + s.a * (1 - 2::DOUBLE / 13)) - (x.a * (2::DOUBLE / 27) + s.b * (1 - 2::DOUBLE / 27))) * 0.2::DOUBLE + s.s * 0.8::DOUBLE}})"
+
+
+@query(f"""WITH {SERIES}, z AS (SELECT symbol, {_LINE} AS z, CASE WHEN len(v) > 1 THEN {ema_sql('v[:-2]', 12)} - {ema_sql('v[:-2]', 26)} END AS y FROM ser), q AS (SELECT symbol, z.a - z.b AS x, y, z.s AS line FROM z)
+SELECT symbol, round(x, 6) AS macd, round(line, 6) AS macd_signal, round(y, 6) AS macd_before, CASE WHEN x > line AND y <= line THEN 'BUY' WHEN x < line AND y >= line THEN 'SELL' ELSE 'HOLD' END AS action FROM q""")
 def macd_crossover(spark, folder):
-    v = ind.prices(c("series"))
-    before = F.slice(c("v"), F.lit(1), F.greatest(F.size("v") - 1, F.lit(0)))
-    s = m.tick_series(_ticks(spark, folder)).withColumn("v", v).withColumn("w", before)
-    s = s.select("symbol", (ind.ema(c("v"), 12) - ind.ema(c("v"), 26)).alias("x"), F.when(F.size("w") > 0, ind.ema(c("w"), 12) - ind.ema(c("w"), 26)).alias("y"))
-    return s.select("symbol", m.crossover(c("x"), c("x") * 0.9, c("y")).alias("action"))
+    """The action of MACD crossing its signal line, EMA-9 of the series of MACD."""
+    s = m.tick_pieces(_ticks(spark, folder), 12, 26, signal=True).select("symbol", ind.signal_series(c("series")).alias("s")).select("symbol", "s.macd", "s.macd_signal", "s.macd_before")
+    return _rounded(s.withColumn("action", m.crossover(c("macd"), c("macd_signal"), c("macd_before"))), "macd", "macd_signal", "macd_before")
 
 
 _START = "{'a': p, 'b': p, 'p': p, 'cash': 10000::DOUBLE, 'pos': 0::DOUBLE, 'st': 0, 'n': 0, 'log': ['']}"
@@ -435,7 +443,7 @@ def live_nested(spark, folder):
     return f.select("symbol", c("event_ms").alias("timestamp"), F.struct(zero("price"), zero("high"), zero("low")).alias("ohlcv"), F.struct(*(zero(f"ema_{n}") for n in _EMAS), zero("rsi"), zero("macd")).alias("indicators"), F.coalesce("trade_type", F.lit("HOLD")).alias("signal"))
 
 
-@query(f"WITH {TICKS} SELECT et AS timestamp, sym AS symbol, price, volume, CAST(round(CAST(price AS DECIMAL(14,4)) * 0.9995, 2) AS DOUBLE) AS bid, CAST(round(CAST(price AS DECIMAL(14,4)) * 1.0005, 2) AS DOUBLE) AS ask, CAST(md5_number(sym) % 3 AS INTEGER) AS partition FROM m")
+@query(f"WITH {TICKS} SELECT et AS timestamp, sym AS symbol, price, volume, CAST(round(CAST(CAST(price AS VARCHAR) AS DECIMAL(28,12)) * 0.9995, 2) AS DOUBLE) AS bid, CAST(round(CAST(CAST(price AS VARCHAR) AS DECIMAL(28,12)) * 1.0005, 2) AS DOUBLE) AS ask, CAST(md5_number(sym) % 3 AS INTEGER) AS partition FROM m")
 def quote_stock(spark, folder):
     return m.quotes(_ticks(spark, folder), "stock")
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from heldout import NEAR, RESIDUE
+
 from tideglass.llm.residue import read, residue_scores, windows, without_residue
 
 CONTENT = "Revenue in the quarter was $12.4 million, up 3% from a year ago. Operating lease liabilities fell because two plants in Norburg were closed."
@@ -71,3 +73,31 @@ def test_windows_are_bounded():
 def test_titles_and_frames_are_no_content():
     found, title = read("Norburg Steel plc names a chief\n\nIt works.\n\nShare  Print  Save")
     assert [w for w, _, _ in found] == ["It works."] and title == len("Norburg Steel plc names a chief")
+
+
+def test_held_out_texts(spark, small):
+    base = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    rows = [(-1 - i, t) for i, t in enumerate(RESIDUE)] + [(-1001 - i, t) for i, t in enumerate(NEAR)]
+    scores = residue_scores(base.unionByName(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    found = {r.doc_id for r in scores.where("is_residue AND doc_id < 0").collect()}
+    right, wrong = sum(i > -1000 for i in found), sum(i <= -1000 for i in found)
+    assert min(len(RESIDUE), len(NEAR)) >= 100
+    assert right / len(RESIDUE) >= 0.9 and right / (right + wrong) >= 0.9
+
+
+def test_slots_by_the_words_around_them(spark):
+    bad = ["Hello {{ article.body | safe }}, your order of {first_name|default} has left.", "Rain fell in {{region}} for a week."]
+    good = [
+        "Each placeholder {{name}} in the template is filled in by the mail merge.",
+        "The function returned undefined since the program had no such entry.",
+        "Students fill in the blank ____ in the exercise.",
+        "Set the environment variable ${HOME} in the configuration file of the shell.",
+    ]
+    df = frame(spark, bad + good + CORPUS)
+    assert {r.doc_id for r in residue_scores(df).where("is_residue").collect()} == {0, 1}
+
+
+def test_long_lines_of_menus_are_no_content():
+    for n in (1, 10, 39):
+        found, _ = read("Terms of use. Privacy notice. " * n + "All rights reserved.\n\nIt works.")
+        assert [w for w, _, _ in found] == ["It works."]

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tideglass.operators.outliers import departure, flag_ticks, stuck
+from tideglass.operators.outliers import departure, flag_ticks, steps, stuck
 
 T0 = 1_757_338_200_000
 SCHEMA = "symbol string, event_ms bigint, tick_id bigint, price double, volume bigint, bid double, ask double"
@@ -41,10 +41,41 @@ def slow_departure(v, width=3, levels=(5, 7)):
 
 def test_departure_equals_brute_force():
     rng = np.random.default_rng(0)
-    for n in (0, 1, 2, 3, 4, 5, 9, 40, 200):
+    parts = []
+    for n in (1, 2, 3, 4, 5, 9, 40, 200):
         v = np.round(rng.normal(0, 1, n).cumsum(), 2)
-        v[rng.integers(0, max(n, 1), n // 10)] += 50
-        assert np.allclose(departure(v), slow_departure(v))
+        v[rng.integers(0, n, n // 10)] += 50
+        parts.append(v)
+    first = np.concatenate([np.arange(len(v)) == 0 for v in parts])
+    assert np.allclose(departure(np.concatenate(parts), first), np.concatenate([slow_departure(v) for v in parts]))
+    assert len(departure(np.zeros(0), np.zeros(0, bool))) == 0
+
+
+def test_what_departs_has_a_step():
+    rng = np.random.default_rng(1)
+    v = np.round(rng.normal(0, 1, 500).cumsum(), 2)
+    v[rng.integers(0, 500, 40)] += rng.choice([-30, 30], 40)
+    first = np.arange(500) % 100 == 0
+    far, (move, step) = departure(v, first), steps(v, first)
+    assert (step >= far / 3 - 1e-9).all() and np.isnan(move[first]).all() and (far > 20).sum() > 5
+
+
+def test_the_fence_decides(spark):
+    """The same departure is a spike in a calm hour and none in an hour whose moves are often as great."""
+    data = []
+    for hour in range(3):
+        part = walk(600, seed=hour, start=1 + 1000 * hour)
+        r = random.Random(hour)
+        for row in part:
+            row[1] += hour * 3_600_000
+        if hour == 1:  # busy: every third tick jumps there and back
+            for i in range(2, 598, 3):
+                part[i][3] = round(part[i][3] + r.choice([-1, 1]) * r.uniform(0.4, 0.9), 2)
+        part[300][3] = round(part[299][3] + 1.0, 2)
+        data += part
+    found = {t for t, r in flags(spark, data).items() if r.spike_price}
+    assert found == {301, 2301}
+    assert len({t for t, r in flags(spark, data, fences=-1.0).items() if r.spike_price}) > 50  # without a fence the busy hour's moves all count
 
 
 @pytest.mark.parametrize("width", [1, 2, 3])

@@ -9,6 +9,7 @@ from tideglass.functions.timeparse import read_time
 from tideglass.operators import flatten, grid, lateness, outliers, trailing, zones
 from tideglass.operators.ticks import usable_ticks
 from tideglass.plans.registry import Query
+from tideglass.session import materialise
 from tideglass.sources.tables import table
 
 
@@ -23,13 +24,19 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return p1_grid(spark, folder).where(F.col("is_missing") & F.col("filled").isNotNull()).select("symbol", "period_start")
 
 
+def _quoted(spark: SparkSession, folder: str) -> DataFrame:
+    """The usable ticks with prices, quotes and volumes, written out: several branches use them."""
+    ticks = usable_ticks(table(spark, folder, "ticks"), "price", "volume", "bid", "ask").drop("time")
+    return materialise(ticks, "quoted-ticks")
+
+
 def p2_flags(spark: SparkSession, folder: str) -> DataFrame:
     """Every usable tick with its flags."""
-    return outliers.flag_ticks(usable_ticks(table(spark, folder, "ticks"), "price", "volume", "bid", "ask"))
+    return outliers.flag_ticks(_quoted(spark, folder))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p2_flags(spark, folder).where("flagged").select("tick_id")
+    return outliers.flagged_ticks(_quoted(spark, folder)).select("tick_id")
 
 
 def _released(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -148,6 +155,12 @@ _LIVE = """
     FROM dense WINDOW w7 AS (PARTITION BY symbol ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), w30 AS (PARTITION BY symbol ORDER BY day ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))"""
 
 
+_FLAGS = f"""{USABLE}, {", ".join(_level(x) for x in ("price", "bid", "ask"))},
+  {_stuck("price", "price = lag(price) OVER w", _GOOD)}, {_stuck("quote", "bid = lag(bid) OVER w AND ask = lag(ask) OVER w", _KNOWN)},
+  volumes AS (SELECT sym, median(volume) AS m FROM usable GROUP BY 1), volume_spikes AS (SELECT tick_id FROM usable JOIN volumes USING (sym) WHERE volume > 100 * m),
+  impossible AS (SELECT tick_id FROM usable WHERE sym IS NOT NULL AND ((price <= 0 AND NOT isnan(price)) OR (bid <= 0 AND NOT isnan(bid)) OR (ask <= 0 AND NOT isnan(ask)) OR volume < 0 OR (bid > ask AND NOT isnan(bid))))"""
+
+
 def _raw_kind(kind: str) -> str:
     return f"""
     SELECT source_file, '{kind}' AS child_kind, CAST(pos AS INTEGER) AS child_pos FROM (
@@ -172,12 +185,12 @@ ORACLE: dict[str, str] = {
   spans AS (SELECT symbol, min(p) AS a, max(p) AS b FROM periods GROUP BY symbol, p // 86400000)
 SELECT symbol, period_start FROM (SELECT symbol, unnest(generate_series(a, b, 300000)) AS period_start FROM spans) AS g
 WHERE NOT EXISTS (SELECT 1 FROM periods AS q WHERE q.symbol = g.symbol AND q.p = g.period_start)""",
-    "p2_found": f"""WITH {USABLE}, {", ".join(_level(x) for x in ("price", "bid", "ask"))},
-  {_stuck("price", "price = lag(price) OVER w", _GOOD)}, {_stuck("quote", "bid = lag(bid) OVER w AND ask = lag(ask) OVER w", _KNOWN)},
-  volumes AS (SELECT sym, median(volume) AS m FROM usable GROUP BY 1)
-SELECT tick_id FROM usable WHERE sym IS NOT NULL AND ((price <= 0 AND NOT isnan(price)) OR (bid <= 0 AND NOT isnan(bid)) OR (ask <= 0 AND NOT isnan(ask)) OR volume < 0 OR (bid > ask AND NOT isnan(bid)))
-UNION SELECT tick_id FROM usable JOIN volumes USING (sym) WHERE volume > 100 * m
+    "p2_found": f"""WITH {_FLAGS}
+SELECT tick_id FROM impossible UNION SELECT tick_id FROM volume_spikes
 UNION SELECT tick_id FROM s_price UNION SELECT tick_id FROM s_bid UNION SELECT tick_id FROM s_ask UNION SELECT tick_id FROM k_price UNION SELECT tick_id FROM k_quote""",
+    "p2_flags": f"""WITH {_FLAGS}, f AS (SELECT sym AS symbol, tick_id, tick_id IN (SELECT tick_id FROM impossible) AS impossible, tick_id IN (SELECT tick_id FROM k_price UNION ALL SELECT tick_id FROM k_quote) AS stuck,
+  tick_id IN (SELECT tick_id FROM s_price) AS spike_price, tick_id IN (SELECT tick_id FROM s_bid) AS spike_bid, tick_id IN (SELECT tick_id FROM s_ask) AS spike_ask, tick_id IN (SELECT tick_id FROM volume_spikes) AS spike_volume FROM usable WHERE sym IS NOT NULL)
+SELECT *, impossible OR stuck OR spike_price OR spike_bid OR spike_ask OR spike_volume AS flagged FROM f""",
     "p3_found": f"WITH {_MARKED} SELECT tick_id, outcome FROM judged WHERE outcome <> 'on_time'",
     "p3_periods": f"""WITH {_MARKED}
 SELECT partition, period_start, count(*) FILTER (outcome = 'on_time') AS provisional_count,

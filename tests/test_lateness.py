@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import random
 
-from tideglass.operators.lateness import k_slack, period_aggregates
+import numpy as np
+
+from tideglass.operators.lateness import KSlack, k_slack, period_aggregates
 from tideglass.operators.ticks import usable_ticks
-from tideglass.streaming.stateful import KSlack
 
 SCHEMA = "partition int, time bigint, event_ms bigint, tick_id bigint, price double, volume bigint"
 T0 = 1_757_338_200_000
@@ -32,7 +33,7 @@ def slow(rows):
 def test_outcomes_equal_brute_force(spark):
     for seed in range(3):
         rows = arrivals(300, seed)
-        got = {r.tick_id: r.outcome for r in k_slack(spark.createDataFrame(rows, SCHEMA), "partition", "event_ms", "time").collect()}
+        got = {r.tick_id: r.outcome for r in k_slack(spark.createDataFrame(rows, SCHEMA), "partition", "event_ms", "time", shard_ms=(60_000, 900_000, 10**12)[seed]).collect()}
         assert got == slow(rows) and {"too_late", "corrects", "on_time"} == set(got.values())
 
 
@@ -55,23 +56,25 @@ def test_period_aggregates(spark):
 
 
 def test_machine_publishes_what_the_batch_finds(spark):
+    """Batches cut instants at will; provisional versions count up, every period ends with one final row."""
     rows = arrivals(400, 7, parts=1)
-    machine = KSlack()
+    machine, published = KSlack(), []
     ordered = sorted((t, e, i, v, w) for _, t, e, i, v, w in rows)
-    end = max(e for _, e, *_ in ordered) + 10_000_000
-    final = {}
-    for i in range(0, len(ordered), 37):  # batches that cut no instant
-        part = ordered[i : i + 37]
-        rest = [x for x in ordered[i + 37 :] if x[0] == part[-1][0]]
-        for x in rest:
-            ordered.remove(x)
-        for r in machine.push(part + rest):
-            if r[-1]:
-                final[r[0]] = r
-    for r in machine.push([(end, end, -1, 0.0, 0)]):
-        final[r[0]] = r
-    batch = period_aggregates(k_slack(spark.createDataFrame(rows, SCHEMA), "partition", "event_ms", "time"), "partition", "event_ms", "price", "volume", "tick_id").where("final_count > 0").collect()
-    assert {r.period_start: (r.final_count, r.final_first, r.final_last, r.final_high, r.final_low, r.final_volume) for r in batch} == {s: (r[2], *r[3:8]) for s, r in final.items() if s < end - 300_000}
+    for i in range(0, len(ordered), 37):
+        a, e, k, v, w = zip(*ordered[i : i + 37], strict=True)
+        published += machine.push(np.array(a), np.array(e), np.array(k), np.array(v), np.array(w))
+    published += machine.flush()
+    final = {r[0]: r for r in published if r[1] == "final"}
+    assert len(final) == sum(r[1] == "final" for r in published) and not len(machine.buffer[0])
+    versions = [r[2] for r in published if r[0] == min(final) and r[1] != "too_late"]
+    assert versions == list(range(1, len(versions) + 1)) and any(r[1] == "provisional" for r in published)
+    late = {}
+    for r in published:
+        if r[1] == "too_late":
+            late[r[0]] = late.get(r[0], 0) + r[3]
+    batch = period_aggregates(k_slack(spark.createDataFrame(rows, SCHEMA), "partition", "event_ms", "time"), "partition", "event_ms", "price", "volume", "tick_id").collect()
+    assert {r.period_start: (r.final_count, r.final_first, r.final_last, r.final_high, r.final_low, r.final_volume) for r in batch if r.final_count} == {s: (r[3], *r[4:9]) for s, r in final.items()}
+    assert {r.period_start: r.too_late for r in batch if r.too_late} == late and late
 
 
 def test_usable_ticks(spark):

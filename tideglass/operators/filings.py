@@ -298,11 +298,21 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFr
 
 
 def first_object(text: Column) -> Column:
-    """The first balanced JSON object of a text, code fences gone; null if there is none.
+    """The first balanced JSON object of a text, code fences gone; null if there is none, or if what is balanced doesn't parse.
 
-    The shortest prefix that parses, among those that end in a closing brace; braces in strings therefore don't matter."""
+    One pass over the letters keeps the depth of braces; those in strings don't count."""
     bare = F.regexp_replace(text, "```(?:json)?", "")
     start = F.call_function("locate", F.lit("{"), bare)
     body = F.when(start > 0, F.substring(bare, start, F.length(bare)))
-    ends = lambda b: F.filter(F.transform(F.sequence(F.lit(1), F.length(b)), lambda i: F.when(F.substring(b, i, F.lit(1)) == "}", F.substring(b, F.lit(1), i))), lambda p: F.try_parse_json(p).isNotNull())
-    return let(body, lambda b: F.when(b.isNotNull() & (F.length(b) > 0), F.get(ends(b), F.lit(0))))
+    first = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"), F.lit(0).alias("end"))
+
+    def step(s: Column, x: Column) -> Column:
+        inside, done = s["quoted"], s["end"] > 0
+        depth = F.when(inside, s["depth"]).when(x == "{", s["depth"] + 1).when(x == "}", s["depth"] - 1).otherwise(s["depth"])
+        quoted = F.when((x == '"') & ~s["escaped"], ~inside).otherwise(inside)
+        return F.struct((s["at"] + 1).alias("at"), depth.alias("depth"), quoted.alias("quoted"), (inside & (x == "\\") & ~s["escaped"]).alias("escaped"), F.when(done, s["end"]).when(~inside & (x == "}") & (s["depth"] == 1), s["at"] + 1).otherwise(0).alias("end"))
+
+    end = F.aggregate(F.split(body, ""), first, step, lambda s: s["end"])
+    found = F.when(end > 0, F.substring(body, F.lit(1), end))
+    return F.when(F.try_parse_json(found).isNotNull(), found)
+

@@ -4,51 +4,154 @@ An event waits in its partition's buffer until the partition's high mark (the gr
 past it; then it is released in event order to the final aggregates. An event that arrives already further behind than that
 can't be released in order any more and is too late. Until a period is final, provisional aggregates come from the buffer.
 
-Over stored data the same machine is a prefix maximum. A partition may hold a third of all rows, so no partition is ordered in
-one task: arrivals are reduced to one row per instant (on the map side too), instants to one row per bucket of arrival time,
-and only these, whose number is bounded by the calendar, are scanned per partition. `tideglass.streaming.kslack` runs the
-machine over a live stream.
+`KSlack` is the machine. `k_slack` replays stored rows through it: as a partition may hold a third of all rows, its arrivals are cut into
+shards of time, and the machine of each shard starts with the mark that the shards before it left, which is an aggregate with one row
+per shard. `streaming.stateful.k_slack_stream` runs the machine over a live stream.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideglass.operators.ticks import PERIOD_MS, period_start
+from tideglass.session import materialise
 
 SLACK_MS = 900_000
-BUCKET_MS = 60_000
+SHARD_MS = 900_000
+#: The mark before anything has arrived.
+NONE = -(2**63) + 2**40
+
+
+class KSlack:
+    """One partition's marks and buffer. Arrivals come in order, some at a time; rows of one instant don't see each other, even if they
+    come in two calls.
+
+    high: the mark before the latest instant, which is complete; top: the greatest event of that instant so far. buffer: event, id, value
+    and weight of the rows that aren't final yet, in the order of release. versions: how often each open period was published."""
+
+    def __init__(self, slack: int = SLACK_MS, period: int = PERIOD_MS, high: int = NONE, top: int = NONE, instant: int = NONE):
+        self.slack, self.period = slack, period
+        self.high, self.top, self.instant = high, top, instant
+        self.buffer = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+        self.versions: dict[int, int] = {}
+
+    def judge(self, arrival: np.ndarray, event: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(mark, outcome) of rows in order of arrival: 0 on time, 1 corrects an ended period, 2 too late."""
+        new = np.append(arrival[0] != self.instant, arrival[1:] != arrival[:-1])
+        starts = np.flatnonzero(new)
+        run = np.maximum.accumulate(event)
+        before = np.where(starts > 0, run[starts - 1], NONE)
+        marks = np.append(self.high, np.maximum(before, max(self.high, self.top)))
+        mark = marks[np.cumsum(new)]
+        if len(starts):
+            self.high, self.instant, self.top = int(marks[-1]), int(arrival[-1]), int(event[starts[-1] :].max())
+        else:
+            self.top = max(self.top, int(event.max()))
+        ended = event - event % self.period + self.period <= mark
+        return mark, np.where(ended & (event < mark - self.slack), 2, np.where(ended, 1, 0))
+
+    def push(self, arrival: np.ndarray, event: np.ndarray, id_: np.ndarray, value: np.ndarray, weight: np.ndarray) -> list[tuple]:
+        """Takes arrivals in and returns what they publish: (period, kind, version, count, first, last, high, low, volume), where kind is
+        `provisional` for a period that has ended or that a row came for since, `final` for one that no row can come for any more, and `too_late`,
+        with a count only, for periods whose rows were turned away."""
+        _, outcome = self.judge(arrival, event)
+        kept = outcome < 2
+        joined = [np.concatenate(x) for x in zip(self.buffer, (event[kept], id_[kept], value[kept], weight[kept]), strict=True)]
+        order = np.lexsort((joined[2], joined[1], joined[0]))
+        self.buffer = tuple(x[order] for x in joined)
+        late, counts = np.unique(event[~kept] - event[~kept] % self.period, return_counts=True)
+        touched = set((event[kept] - event[kept] % self.period).tolist())
+        out = [(s, "too_late", None, n, None, None, None, None, None) for s, n in zip(late.tolist(), counts.tolist(), strict=True)]
+        return out + self._publish(self.high - self.slack, touched)
+
+    def take(self, arrival: np.ndarray, event: np.ndarray, id_: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(released, waiting): takes arrivals in and returns the values that are released in order now, and those that the buffer still holds."""
+        _, outcome = self.judge(arrival, event)
+        kept = outcome < 2
+        joined = [np.concatenate(x) for x in zip(self.buffer, (event[kept], id_[kept], value[kept], np.zeros(int(kept.sum()), np.int64)), strict=True)]
+        order = np.lexsort((joined[2], joined[1], joined[0]))
+        joined = [x[order] for x in joined]
+        cut = int(np.searchsorted(joined[0], self.high - self.slack))
+        self.buffer = tuple(x[cut:] for x in joined)
+        return joined[2][:cut], self.buffer[2]
 
+    def flush(self) -> list[tuple]:
+        """What is still open becomes final, as nothing more will come."""
+        return self._publish(2**62, set())
 
-def high_marks(events: DataFrame, key: str, event: str, arrival: str, bucket_ms: int = BUCKET_MS) -> DataFrame:
-    """key, arrival, high_mark: for every instant of arrival the greatest event time of its key among rows that arrived
-    strictly earlier; null for the first instant."""
-    instants = events.groupBy(key, period_start(F.col(arrival), bucket_ms).alias("bucket"), arrival).agg(F.max(event).alias("top"))
-    buckets = instants.groupBy(key, "bucket").agg(F.max("top").alias("top"))
-    before = Window.partitionBy(key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = buckets.select(key, "bucket", F.max("top").over(before).alias("carried"))
-    within = Window.partitionBy(key, "bucket").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    inner = instants.withColumn("within", F.max("top").over(within))
-    return inner.join(carried, [key, "bucket"]).select(key, arrival, F.greatest("within", "carried").alias("high_mark"))
+    def _publish(self, closed: int, touched: set[int]) -> list[tuple]:
+        """Periods that end by `closed` as final, and as provisional those that have ended and are in `touched` or weren't published yet."""
+        event, id_, value, weight = self.buffer
+        start = event - event % self.period
+        out = []
+        cuts = np.append(np.flatnonzero(np.append(True, start[1:] != start[:-1])[: len(start)]), len(start))
+        keep = np.ones(len(start), bool)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            s = int(start[a])
+            final = s + self.period <= closed
+            if not final and not ((s in touched or s not in self.versions) and s + self.period <= max(self.high, self.top)):
+                continue
+            self.versions[s] = self.versions.get(s, 0) + 1
+            known = value[a:b][~np.isnan(value[a:b])]
+            ends = (float(known[0]), float(known[-1]), float(known.max()), float(known.min())) if len(known) else (None,) * 4
+            out.append((s, "final" if final else "provisional", self.versions[s], int(b - a), *ends, int(weight[a:b].sum())))
+            if final:
+                keep[a:b] = False
+                del self.versions[s]
+        self.buffer = tuple(x[keep] for x in self.buffer)
+        return out
 
 
-def k_slack(events: DataFrame, key: str, event: str, arrival: str, slack_ms: int = SLACK_MS, period_ms: int = PERIOD_MS) -> DataFrame:
-    """events with period_start, high_mark and outcome: `on_time` where the row's period was still open on arrival,
-    `corrects` where it had ended at or before the high mark, `too_late` where the row is more than `slack_ms` behind it.
+OUTCOMES = ("on_time", "corrects", "too_late")
+
+
+def _replay(key: str, event: str, arrival: str, slack: int, period: int):
+    """Rows sorted by key, shard and arrival through one machine for each shard."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        machine, current = None, None
+        for rows in batches:
+            if rows.empty:
+                continue
+            keys = pd.factorize(rows[key])[0]
+            change = np.append(True, (keys[1:] != keys[:-1]) | (rows["__shard"].to_numpy()[1:] != rows["__shard"].to_numpy()[:-1]))
+            cuts = np.append(np.flatnonzero(change), len(rows))
+            at, came = rows[event].to_numpy(np.int64), rows[arrival].to_numpy(np.int64)
+            mark, outcome = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                shard = (rows[key].iloc[a], rows["__shard"].iloc[a])
+                if shard != current:
+                    carried = rows["__carried"].iloc[a]
+                    machine, current = KSlack(slack, period, NONE if pd.isna(carried) else int(carried)), shard
+                mark[a:b], outcome[a:b] = machine.judge(came[a:b], at[a:b])
+            marks = pd.Series(mark).astype("Int64").where(mark > NONE)
+            yield rows.drop(columns=["__shard", "__carried"]).assign(high_mark=marks.to_numpy(), outcome=np.array(OUTCOMES, object)[outcome], period_start=at - at % period)
+
+    return run
+
+
+def k_slack(events: DataFrame, key: str, event: str, arrival: str, slack_ms: int = SLACK_MS, period_ms: int = PERIOD_MS, shard_ms: int = SHARD_MS) -> DataFrame:
+    """events with high_mark (the greatest event time of its key among rows that arrived strictly earlier), period_start and outcome:
+    `on_time` where the row's period was still open on arrival, `corrects` where it had ended at or before the high mark, `too_late`
+    where the row is more than `slack_ms` behind it besides.
 
     Rows whose key, event or arrival is null take no part. Rows of one instant don't see each other. Columns of events with the
-    names of the new ones are replaced."""
-    known = events.drop("high_mark", "period_start", "outcome").where(F.col(key).isNotNull() & F.col(event).isNotNull() & F.col(arrival).isNotNull())
-    marks = high_marks(known.select(key, event, arrival), key, event, arrival)
-    start = period_start(F.col(event), period_ms)
-    ended = start + period_ms <= F.col("high_mark")
-    late = F.col(event) < F.col("high_mark") - slack_ms
-    return (
-        known.join(marks, [key, arrival])
-        .withColumn("period_start", start)
-        .withColumn("outcome", F.when(ended & late, "too_late").when(ended, "corrects").otherwise("on_time"))
-    )
+    names of the new ones are replaced. events are read twice: written out where they took work."""
+    c = F.col
+    known = events.drop("high_mark", "period_start", "outcome").where(c(key).isNotNull() & c(event).isNotNull() & c(arrival).isNotNull())
+    known = known.withColumn("__shard", period_start(c(arrival), shard_ms))
+    before = Window.partitionBy(key).orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = known.groupBy(key, "__shard").agg(F.max(event).alias("__top")).select(key, "__shard", F.max("__top").over(before).alias("__carried"))
+    placed = known.join(shards, [key, "__shard"]).repartition(key, "__shard").sortWithinPartitions(key, "__shard", arrival)
+    added = (T.StructField("high_mark", T.LongType()), T.StructField("outcome", T.StringType()), T.StructField("period_start", T.LongType()))
+    fields = [f for f in placed.schema.fields if f.name not in ("__shard", "__carried")]
+    return placed.mapInPandas(_replay(key, event, arrival, slack_ms, period_ms), T.StructType([*fields, *added]))
 
 
 def period_aggregates(released: DataFrame, key: str, event: str, value: str, weight: str, tie: str) -> DataFrame:

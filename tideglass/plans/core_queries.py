@@ -41,7 +41,8 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def _released(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     ticks = usable_ticks(table(spark, folder, "ticks"), "partition", *columns, symbol=False)
-    return lateness.k_slack(ticks, "partition", "event_ms", "time")
+    ticks = ticks.where(F.col("partition").isNotNull())
+    return lateness.k_slack(materialise(ticks, "arrived-ticks"), "partition", "event_ms", "time")
 
 
 def p3_periods(spark: SparkSession, folder: str) -> DataFrame:

@@ -40,6 +40,20 @@ def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructTy
     return reader.parquet(f"{folder}/{name}.parque[t]")
 
 
+def replay_steps(rows: DataFrame, at: str, path: str, steps: int = 12, most: int = 1_000_000) -> str:
+    """Writes rows below `path` in steps of arrival `at`, a file each, one after the other, so that a stream with one file per trigger
+    takes them as so many batches in order of arrival. Rows of one arrival may fall into one step only; steps hold about `most` rows at the most."""
+    n = rows.agg(F.count(at)).first()[0]
+    steps = max(min(steps, n), -(-n // most), 1)
+    found = rows.agg(F.percentile_approx(at, [i / steps for i in range(1, steps)], 10_000).alias("cuts")).first()["cuts"] if n and steps > 1 else []
+    cuts = sorted(set(found or []))
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = rows if low is None else rows.where(F.col(at) > low)
+        part = part if high is None else part.where(F.col(at) <= high)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def whole_files(spark: SparkSession, pattern: str) -> DataFrame:
     """path, ticker (the file's folder), text of whole files, such as `filings/*/*.html`."""
     path = F.input_file_name()

@@ -54,8 +54,8 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return _released(spark, folder).where(F.col("outcome") != "on_time").select("tick_id", "outcome")
 
 
-def _filing_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return flatten.filing_tables(table(spark, folder, "form4"), table(spark, folder, "form4_raw"))
+def _filing_tables(spark: SparkSession, folder: str, several: bool = False) -> dict[str, DataFrame]:
+    return flatten.filing_tables(table(spark, folder, "form4"), table(spark, folder, "form4_raw"), several)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +82,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return flatten.children(_filing_tables(spark, folder))
+    return flatten.children(_filing_tables(spark, folder, several=True))
 
 
 def p7_transactions(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Rolling totals over trailing periods (problem 5).
 
 The changelog is netted to live windows, those to days; each source's calendar is generated from its first to its last day
-(the entity-calendar product, made per source by `sequence`), and trailing sums are windows over a fixed number of rows. After
+(the entity-calendar product, made per source by `sequence` from each day to the next with windows), and trailing sums are windows over a fixed number of rows. After
 the daily aggregate a source has one row per day, however many rows it had.
 """
 
@@ -46,8 +46,11 @@ def trailing_days(windows: DataFrame, periods: tuple[int, ...] = (7, 30)) -> Dat
     daily = windows.groupBy("symbol", day.alias("day")).agg(
         F.sum("volume").alias("volume"), F.count(F.lit(1)).alias("n_windows"), F.sum("avg_price").alias("price_sum"), F.count("avg_price").alias("n_prices")
     )
-    calendar = daily.groupBy("symbol").agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    dense = calendar.select("symbol", F.explode(F.sequence("first", "last")).alias("day")).join(daily, ["symbol", "day"], "left")
+    # Each day with windows also brings the days without any up to the next: the calendar needs no second reading and no join.
+    following = F.lead("day").over(Window.partitionBy("symbol").orderBy("day"))
+    last = F.coalesce(F.date_sub("following", 1), F.col("home"))
+    dense = daily.withColumn("following", following).withColumnRenamed("day", "home").withColumn("day", F.explode(F.sequence("home", last)))
+    dense = dense.withColumns({x: F.when(F.col("day") == F.col("home"), F.col(x)) for x in ("volume", "n_windows", "price_sum", "n_prices")})
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     out = [F.col("symbol"), F.date_format("day", "yyyy-MM-dd").alias("day_utc"), zero("volume").alias("volume"), zero("n_windows").alias("n_windows")]
     for n in periods:

@@ -19,6 +19,11 @@ def p1_grid(spark: SparkSession, folder: str) -> DataFrame:
     return grid.regular_grid(ticks, "symbol", "event_ms", "price")
 
 
+def p1_series(spark: SparkSession, folder: str) -> DataFrame:
+    """What of the grid doesn't rest on the regression: which periods there are, and what was observed in them."""
+    return p1_grid(spark, folder).where(F.col("is_missing") | (F.col("filled") == F.col("observed"))).drop("filled").withColumn("observed", F.round("observed", 6))
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """The missing periods; each has been filled."""
     return p1_grid(spark, folder).where(F.col("is_missing") & F.col("filled").isNotNull()).select("symbol", "period_start")
@@ -95,7 +100,7 @@ def p7_filings(spark: SparkSession, folder: str) -> DataFrame:
     return _filing_tables(spark, folder)["filing"]
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_flags, p3_found, p3_periods, p4_found, p4_zones, p5_found, p5_trailing, p7_found, p7_transactions, p7_filings)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_series, p1_grid, p2_found, p2_flags, p3_found, p3_periods, p4_found, p4_zones, p5_found, p5_trailing, p7_found, p7_transactions, p7_filings)}
 
 USABLE = """
   usable AS (
@@ -186,6 +191,10 @@ ORACLE: dict[str, str] = {
   spans AS (SELECT symbol, min(p) AS a, max(p) AS b FROM periods GROUP BY symbol, p // 86400000)
 SELECT symbol, period_start FROM (SELECT symbol, unnest(generate_series(a, b, 300000)) AS period_start FROM spans) AS g
 WHERE NOT EXISTS (SELECT 1 FROM periods AS q WHERE q.symbol = g.symbol AND q.p = g.period_start)""",
+    "p1_series": f"""WITH {USABLE},
+  periods AS (SELECT sym AS symbol, et - et % 300000 AS p, count(*) AS n, avg(price) AS v FROM usable WHERE {_GOOD} AND sym IS NOT NULL GROUP BY 1, 2),
+  grid AS (SELECT symbol, unnest(generate_series(min(p), max(p), 300000)) AS p FROM periods GROUP BY symbol, p // 86400000)
+SELECT symbol, strftime(make_timestamp(p * 1000), '%Y-%m-%d') AS day_utc, p AS period_start, coalesce(n, 0) AS n_readings, n IS NULL AS is_missing, round(v, 6) AS observed FROM grid LEFT JOIN periods USING (symbol, p)""",
     "p2_found": f"""WITH {_FLAGS}
 SELECT tick_id FROM impossible UNION SELECT tick_id FROM volume_spikes
 UNION SELECT tick_id FROM s_price UNION SELECT tick_id FROM s_bid UNION SELECT tick_id FROM s_ask UNION SELECT tick_id FROM k_price UNION SELECT tick_id FROM k_quote""",

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from tideglass.functions import scalars as f
 from tideglass.operators import filings as fl
+from tideglass.operators import flatten
 from tideglass.operators import transcripts as tr
 from tideglass.operators.ticks import one_per_id
 from tideglass.plans.registry import registry
+from tideglass.plans.time_sql import BOTH
 from tideglass.sources.market import previous_quarter as previous
 from tideglass.sources.tables import table
 
@@ -60,12 +62,12 @@ def route_topic(spark, folder):
     return _news(spark, folder).select("news_id", f.topic_of(c("category")).alias("topic"), f.md5_partition(c("sym"), 3).alias("partition_id"))
 
 
-FORM4 = "WITH f AS (SELECT *, filing_metadata.source_file AS source_file FROM form4 QUALIFY row_number() OVER (PARTITION BY filing_metadata.source_file ORDER BY parsed_timestamp DESC) = 1)"
+FORM4 = f"WITH {BOTH}"
 
 
 def _form4(spark, folder) -> DataFrame:
-    rows = table(spark, folder, "form4").withColumn("source_file", c("filing_metadata.source_file"))
-    return one_per_id(rows, "source_file", F.desc("parsed_timestamp"))
+    """Every filing that can be read, of both tables, once."""
+    return flatten.filings(table(spark, folder, "form4"), table(spark, folder, "form4_raw")).select("source_file", "record.*")
 
 
 _VALUE = "(SELECT round(coalesce(sum(t.shares_traded * t.price_per_share), 0), 2) FROM (SELECT unnest(transactions) AS t) WHERE t.transaction_code IN ('S', 'P'))"
@@ -89,7 +91,7 @@ def form4_clean(spark, folder):
     return rows.select("source_file", "position", "t.transaction_date", "t.rule_10b5_1_plan")
 
 
-@query(f"{FORM4} SELECT upper(issuer.ticker_symbol) AS ticker, lpad(issuer.cik, 10, '0') AS cik, '4' AS doc_type, regexp_replace(source_file, '\\.html$', '') AS doc_id, filing_metadata.earliest_transaction_date AS date, filing_metadata.filing_date AS filing_date, source_file, upper(reporting_person.name) AS reporting_person, coalesce(filing_metadata.is_amendment, false) AS is_amendment, {_VALUE} AS total_transaction_value, CAST(coalesce(len(transactions), 0) AS INTEGER) AS num_transactions FROM f")
+@query(f"{FORM4} SELECT upper(ticker_symbol) AS ticker, lpad(cik, 10, '0') AS cik, '4' AS doc_type, regexp_replace(source_file, '\\.html$', '') AS doc_id, filing_metadata.earliest_transaction_date AS date, filing_metadata.filing_date AS filing_date, source_file, upper(person) AS reporting_person, coalesce(filing_metadata.is_amendment, false) AS is_amendment, {_VALUE} AS total_transaction_value, CAST(coalesce(len(transactions), 0) AS INTEGER) AS num_transactions FROM f")
 def filing_metadata(spark, folder):
     return fl.metadata_rows(_form4(spark, folder))
 
@@ -115,10 +117,10 @@ def form4_sections(spark, folder):
     return fl.form4_sections(table(spark, folder, "documents").select("doc_id", page.alias("html")), "doc_id", "html")
 
 
-@query(f"""WITH t AS (SELECT unnest(transactions) AS t FROM form4 WHERE len(transactions) > 0), d AS (SELECT DISTINCT t.transaction_date AS raw FROM t WHERE t.transaction_date IS NOT NULL)
+@query(f"""{FORM4}, t AS (SELECT unnest(transactions) AS t FROM f WHERE len(transactions) > 0), d AS (SELECT DISTINCT t.transaction_date AS raw FROM t WHERE t.transaction_date IS NOT NULL)
 SELECT raw, CASE WHEN regexp_full_match(raw, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') AND try_strptime(raw, '%m/%d/%Y') IS NOT NULL THEN strftime(try_strptime(raw, '%m/%d/%Y'), '%Y-%m-%d') ELSE raw END AS plain FROM d""")
 def date_normalise(spark, folder):
-    dates = table(spark, folder, "form4").select(F.explode("transactions").alias("t")).select(c("t.transaction_date").alias("raw")).where(c("raw").isNotNull()).distinct()
+    dates = _form4(spark, folder).select(F.explode("transactions").alias("t")).select(c("t.transaction_date").alias("raw")).where(c("raw").isNotNull()).distinct()
     return dates.select("raw", f.plain_date(c("raw")).alias("plain"))
 
 
@@ -127,11 +129,11 @@ def numeric_normalise(spark, folder):
     return table(spark, folder, "part").select("p_partkey", f.whole_number(c("p_retailprice").cast("string")).alias("whole"))
 
 
-@query("""WITH s AS (SELECT upper(issuer.ticker_symbol) AS ticker, regexp_replace(filing_metadata.source_file, '\\.html$', '') AS accession, max(filing_metadata.filing_date) AS filing_date FROM form4 GROUP BY 1, 2),
+@query(f"""{FORM4}, s AS (SELECT upper(ticker_symbol) AS ticker, regexp_replace(source_file, '\\.html$', '') AS accession, max(filing_metadata.filing_date) AS filing_date FROM f GROUP BY 1, 2),
   k AS (SELECT ticker, quantile_disc(accession, 0.5) AS last_accession FROM s GROUP BY 1)
 SELECT ticker, accession, filing_date FROM s LEFT JOIN k USING (ticker) WHERE accession > last_accession QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY filing_date DESC, accession DESC) <= 5""")
 def new_filings_checkpoint(spark, folder):
-    rows = table(spark, folder, "form4").select(F.upper("issuer.ticker_symbol").alias("ticker"), F.regexp_replace("filing_metadata.source_file", r"\.html$", "").alias("accession"), c("filing_metadata.filing_date").alias("filing_date"))
+    rows = _form4(spark, folder).select(F.upper("issuer.ticker_symbol").alias("ticker"), F.regexp_replace("source_file", r"\.html$", "").alias("accession"), c("filing_metadata.filing_date").alias("filing_date"))
     rows = rows.groupBy("ticker", "accession").agg(F.max("filing_date").alias("filing_date")).withColumn("form", F.lit(" 4 "))
     order = Window.partitionBy("ticker").orderBy("accession")
     place = rows.withColumn("r", F.row_number().over(order)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("ticker")))
@@ -200,16 +202,21 @@ def display_formats(spark, folder):
     return table(spark, folder, "part").select("p_partkey", "p_name", f.clip(c("p_name"), 8).alias("clipped"), f.human_number(c("p_retailprice")).alias("shown"))
 
 
-@query("SELECT name, label FROM (VALUES ('us-gaap:NetIncomeLoss', 'Net Income Loss'), ('Assets', 'Assets'), ('dei:entityName', 'Entity Name')) AS t(name, label), (SELECT count(*) AS n FROM region) WHERE n > 0")
+@query("""SELECT p_partkey, 'us-gaap:' || array_to_string(list_transform(string_split(p_type, ' '), lambda w: upper(w[1]) || lower(w[2:])), '') AS name,
+  array_to_string(list_transform(string_split(p_type, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS label, regexp_replace(p_name, '^.* ', '') AS last FROM part""")
 def concept_label(spark, folder):
-    rows = spark.createDataFrame([("us-gaap:NetIncomeLoss",), ("Assets",), ("dei:entityName",)], "name string")
-    return rows.select("name", f.concept_label(c("name")).alias("label"))
+    """Concepts made of the parts' types and read back as labels; the last segment of a path made of their names."""
+    name = F.concat(F.lit("us-gaap:"), F.replace(F.initcap("p_type"), F.lit(" "), F.lit("")))
+    rows = table(spark, folder, "part").select("p_partkey", name.alias("name"), F.replace("p_name", F.lit(" "), F.lit("/")).alias("path"))
+    return rows.select("p_partkey", "name", f.concept_label(c("name")).alias("label"), F.element_at(F.split("path", "/"), -1).alias("last"))
 
 
-@query("SELECT unit_id, type FROM (VALUES ('u1', 'monetary'), ('u2', 'shares'), ('u3', 'other'), ('u4', 'shares')) AS t(unit_id, type)")
+@query("SELECT o_orderkey, CASE WHEN o_orderpriority[1:1] IN ('1', '2') THEN 'monetary' WHEN o_orderpriority[1:1] IN ('3', '4') THEN 'shares' ELSE 'other' END AS type FROM orders")
 def unit_type(spark, folder):
-    rows = spark.createDataFrame([("u1", ["iso4217:USD"]), ("u2", ["xbrli:shares"]), ("u3", ["xbrli:pure"]), ("u4", ["xbrli:shares", "iso4217:EUR"])], "unit_id string, measures array<string>")
-    return rows.select("unit_id", f.unit_type(c("measures")).alias("type"))
+    """Each order's priority stands for the measures of a unit."""
+    first = F.substring("o_orderpriority", 1, 1)
+    measures = F.when(first == "1", F.array(F.lit("iso4217:USD"))).when(first == "2", F.array(F.lit("iso4217:EUR"))).when(first == "3", F.array(F.lit("xbrli:shares"))).when(first == "4", F.array(F.lit("xbrli:shares"), F.lit("iso4217:EUR"))).otherwise(F.array(F.lit("xbrli:pure")))
+    return table(spark, folder, "orders").select("o_orderkey", f.unit_type(measures).alias("type"))
 
 
 @query("SELECT o_orderkey, 'ctx' || o_orderkey AS contextRef, 'co:OrderTotal' AS name, 'Order Total' AS label, o_totalprice AS value_num, strftime(o_orderdate, '%Y-%m-%d') AS period_end, 'monetary' AS unit_type FROM orders")
@@ -225,9 +232,9 @@ def xbrl_explode(spark, folder):
     return t["facts"].join(units, ["o_orderkey", "unitRef"]).select("o_orderkey", "contextRef", "name", "label", "value_num", fl.period_end(c("period")).alias("period_end"), "unit_type")
 
 
-@query("SELECT source_file, f.ticker, m.cik FROM (SELECT DISTINCT filing_metadata.source_file AS source_file, upper(issuer.ticker_symbol) AS ticker FROM form4) AS f JOIN cik_map AS m ON m.ticker = f.ticker")
+@query(f"{FORM4} SELECT source_file, m.ticker, m.cik FROM f JOIN cik_map AS m ON m.ticker = upper(ticker_symbol)")
 def cik_map_join(spark, folder):
-    rows = table(spark, folder, "form4").select(c("filing_metadata.source_file").alias("source_file"), F.upper("issuer.ticker_symbol").alias("ticker")).distinct()
+    rows = _form4(spark, folder).select("source_file", F.upper("issuer.ticker_symbol").alias("ticker"))
     return rows.join(table(spark, folder, "cik_map").select("ticker", f.pad_cik(c("cik")).alias("cik")), "ticker").select("source_file", "ticker", "cik")
 
 
@@ -237,19 +244,20 @@ def db_stats(spark, folder):
     return parts[0].union(parts[1]).union(parts[2])
 
 
-@query("SELECT DISTINCT upper(issuer.ticker_symbol) AS ticker FROM form4 WHERE issuer.ticker_symbol IS NOT NULL ORDER BY 1")
+@query(f"{FORM4} SELECT DISTINCT upper(ticker_symbol) AS ticker FROM f WHERE ticker_symbol IS NOT NULL ORDER BY 1")
 def tickers(spark, folder):
-    return table(spark, folder, "form4").select(F.upper("issuer.ticker_symbol").alias("ticker")).where(c("ticker").isNotNull()).distinct().orderBy("ticker")
+    return _form4(spark, folder).select(F.upper("issuer.ticker_symbol").alias("ticker")).where(c("ticker").isNotNull()).distinct().orderBy("ticker")
 
 
-@query("SELECT upper(issuer.ticker_symbol) AS ticker, count(*) AS filings, max(filing_metadata.filing_date) AS latest FROM form4 GROUP BY 1")
+@query(f"{FORM4} SELECT upper(ticker_symbol) AS ticker, count(*) AS filings, max(filing_metadata.filing_date) AS latest FROM f GROUP BY 1")
 def ticker_summary(spark, folder):
-    return table(spark, folder, "form4").groupBy(F.upper("issuer.ticker_symbol").alias("ticker")).agg(F.count(F.lit(1)).alias("filings"), F.max("filing_metadata.filing_date").alias("latest"))
+    """Each filing once, however often it was delivered."""
+    return _form4(spark, folder).groupBy(F.upper("issuer.ticker_symbol").alias("ticker")).agg(F.count(F.lit(1)).alias("filings"), F.max("filing_metadata.filing_date").alias("latest"))
 
 
-@query("SELECT DISTINCT filing_metadata.source_file AS source_file FROM form4 WHERE filing_metadata.is_amendment AND filing_metadata.source_file NOT IN (SELECT filing_metadata.source_file FROM form4 WHERE filing_metadata.filing_date < '2025-10-01')")
+@query(f"{FORM4} SELECT source_file FROM f WHERE filing_metadata.is_amendment AND NOT coalesce(filing_metadata.filing_date < '2025-10-01', false)")
 def insert_absent(spark, folder):
-    rows = table(spark, folder, "form4").select(c("filing_metadata.source_file").alias("source_file"), c("filing_metadata.is_amendment").alias("a"), c("filing_metadata.filing_date").alias("d"))
+    rows = _form4(spark, folder).select("source_file", c("filing_metadata.is_amendment").alias("a"), c("filing_metadata.filing_date").alias("d"))
     return fl.insert_absent(rows.where("a").select("source_file"), rows.where(c("d") < "2025-10-01"), ["source_file"])
 
 

@@ -51,6 +51,19 @@ def _number(name: str, kind: str) -> str:
 _FIELDS = {"security_title": "", "transaction_date": "", "transaction_code": "", "shares_traded": "BIGINT", "acquisition_or_disposition": "", "price_per_share": "DOUBLE", "shares_owned_after": "BIGINT", "ownership_type": "", "rule_10b5_1_plan": "BOOLEAN"}
 _RAW_FIELDS = ", ".join(_number(k, v) if v in ("BIGINT", "DOUBLE") else f"TRY_CAST(json_extract_string(x, '$.{k}') AS BOOLEAN)" if v else f"json_extract_string(x, '$.{k}')" for k, v in _FIELDS.items())
 
+_TEXT = "json_extract_string(p, '$.{}.{}')"
+_META = "{'earliest_transaction_date': %s, 'filing_date': %s, 'is_amendment': TRY_CAST(%s AS BOOLEAN), 'source_file': source_file}" % tuple(_TEXT.format("filing_metadata", x) for x in ("earliest_transaction_date", "filing_date", "is_amendment"))
+_RAW_STRUCT = "{" + ", ".join(f"'{k}': {v}" for k, v in zip(_FIELDS, [_number(k, v) if v in ("BIGINT", "DOUBLE") else f"TRY_CAST(json_extract_string(x, '$.{k}') AS BOOLEAN)" if v else f"json_extract_string(x, '$.{k}')" for k, v in _FIELDS.items()], strict=True)) + "}"
+#: Every filing that either table can be read for, as f: source_file, filing_metadata, ticker, cik, person, transactions, footnotes.
+BOTH = f"""
+  mine AS (SELECT filing_metadata.source_file AS source_file, filing_metadata, issuer.ticker_symbol AS ticker_symbol, issuer.cik AS cik, reporting_person.name AS person, transactions, footnotes FROM form4 QUALIFY row_number() OVER (PARTITION BY filing_metadata.source_file ORDER BY parsed_timestamp DESC) = 1),
+  texts AS (SELECT p, json_extract_string(p, '$.filing_metadata.source_file') AS source_file FROM (SELECT TRY_CAST(payload AS JSON) AS p FROM form4_raw WHERE json_valid(payload) AND payload LIKE '{{%') QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY CAST(p AS VARCHAR)) = 1),
+  read AS (SELECT source_file, {_META} AS filing_metadata, json_extract_string(p, '$.issuer.ticker_symbol') AS ticker_symbol, json_extract_string(p, '$.issuer.cik') AS cik, json_extract_string(p, '$.reporting_person.name') AS person,
+    list_transform(CASE json_type(p, '$.transactions') WHEN 'ARRAY' THEN CAST(json_extract(p, '$.transactions') AS JSON[]) WHEN 'OBJECT' THEN [json_extract(p, '$.transactions')] END, lambda x: CASE WHEN json_type(x) = 'OBJECT' THEN {_RAW_STRUCT} END) AS transactions,
+    CASE json_type(p, '$.footnotes') WHEN 'ARRAY' THEN CAST(json_extract(p, '$.footnotes') AS VARCHAR[]) WHEN 'VARCHAR' THEN [json_extract_string(p, '$.footnotes')] END AS footnotes
+    FROM texts WHERE source_file IS NOT NULL AND source_file NOT IN (SELECT source_file FROM mine WHERE source_file IS NOT NULL)),
+  f AS (SELECT * FROM mine WHERE source_file IS NOT NULL UNION ALL SELECT * FROM read)"""
+
 ORACLE: dict[str, str] = {
     "p4_found": rf"""WITH {NEWS_TIMES}, {FILINGS},
   dates AS (SELECT source_file, position, t.transaction_date AS raw FROM theirs WHERE t IS NOT NULL UNION ALL SELECT source_file, position, json_extract_string(x, '$.transaction_date') FROM opened WHERE json_type(x) = 'OBJECT'),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate, pairwise
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,7 +14,7 @@ from tideglass.functions.scalars import pad_cik
 from tideglass.functions.timeparse import let
 
 c = F.col
-SIZE, WINDOW_TOKENS = 50, 800
+SIZE, WINDOW_TOKENS, FEWEST = 50, 800, 4
 # Separators from the strongest to none.
 SEPARATORS = ("\n\n", "\n", ".", "?", "!", " ", "")
 
@@ -40,45 +42,44 @@ def split_text(text: str, size: int = SIZE, separators: tuple[str, ...] = SEPARA
     return [x for x in (*out, held.strip()) if x]
 
 
+#: Given the pieces and the first and last of a window, the numbers (from 1) of those after which a chunk ends.
+Oracle = Callable[[list[str], int, int], list[int]]
+
+
 def midpoint(pieces: list[str], current: int, end: int) -> list[int]:
     """The default split oracle: no answer, so the middle of the window is taken."""
     return [current + (end - current) // 2]
 
 
-def merge_pieces(text: str, size: int = SIZE, window: int = WINDOW_TOKENS, oracle: Callable[[list[str], int, int], list[int]] = midpoint) -> list[str]:
-    """Chunks of a text: pieces in windows of `window` tokens (a quarter of the characters), split where the oracle says (numbers
-    of pieces from 1, after which to split). Up to four pieces are one chunk; bad answers give way to the next piece."""
+def chunk_ends(sizes: list[int], window: int, choose: Callable[[int, int], list[int]]) -> Iterator[int]:
+    """Numbers of pieces after which a chunk ends, until no more than FEWEST pieces are left. A window is the pieces from the last
+    end on whose sizes add up to `window`, found in the running totals; one piece that is larger is a chunk."""
+    total = [0, *accumulate(sizes)]
+    first = 0
+    while first + FEWEST < len(sizes):
+        last = max(bisect_right(total, total[first] + window) - 2, first)
+        found = choose(first, last) if last > first else [first + 1]
+        yield from found
+        first = max(found[-1], first + 1)
+
+
+def merge_pieces(text: str, size: int = SIZE, window: int = WINDOW_TOKENS, oracle: Oracle = midpoint) -> list[str]:
+    """Chunks of a text: its pieces in windows of `window` tokens (a quarter of the characters), which end where the oracle says. Up to
+    FEWEST pieces are one chunk. No answer means the midpoint; of an answer what lies outside the window is left out, and where nothing
+    is left the window's first piece is a chunk."""
     pieces = split_text(text, size)
-    n = len(pieces)
-    if n <= 4:
+    if len(pieces) <= FEWEST:
         return [text]
-    ends: set[int] = set()
-    at = 0
-    while at < n - 4:
-        tokens, last = 0, at
-        for i in range(at, n):
-            tokens += len(pieces[i]) // 4
-            if tokens > window:
-                break
-            last = i
-        if last == at:
-            answer = [at + 1]
-        else:
-            answer = oracle(pieces, at, last) or midpoint(pieces, at, last)
-            if answer != sorted(answer) or answer[0] < at or answer[-1] > last:
-                answer = [x for x in answer if at <= x <= last] or [at + 1]
-        ends.update(x - 1 for x in answer if x > 0)
-        at = max(answer[-1], at + 1)
-    out, held = [], []
-    for i, piece in enumerate(pieces):
-        held.append(piece)
-        if i in ends or i == n - 1:
-            out.append(" ".join(held).strip())
-            held = []
-    return out
-
-
-def chunk_documents(documents: DataFrame, key: str, text: str, oracle: Callable[[list[str], int, int], list[int]] = midpoint) -> DataFrame:
+
+    def choose(first: int, last: int) -> list[int]:
+        said = oracle(pieces, first, last) or midpoint(pieces, first, last)
+        return [x for x in said if first <= x <= last] or [first + 1]
+
+    cuts = sorted({0, len(pieces), *chunk_ends([len(p) // 4 for p in pieces], window, choose)})
+    return [" ".join(pieces[a:b]).strip() for a, b in pairwise(cuts)]
+
+
+def chunk_documents(documents: DataFrame, key: str, text: str, oracle: Oracle = midpoint) -> DataFrame:
     """key, chunk_index (from 1), chunk. Null, empty and blank texts have no chunks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

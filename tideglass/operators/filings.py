@@ -279,9 +279,10 @@ def concept_query(facts: DataFrame, pattern: str, limit: int = 10, strict: bool
 
 
 def common_concepts(facts: DataFrame, limit: int = 15) -> DataFrame:
-    """concept, facts, tickers, sample: the most frequent concepts, how many tickers have them and their least value."""
-    per = facts.groupBy("concept", "ticker").agg(F.count(F.lit(1)).alias("n"), F.min("value_num").alias("v"))
-    return per.groupBy("concept").agg(F.sum("n").alias("facts"), F.count("ticker").alias("tickers"), F.min("v").alias("sample")).orderBy(F.desc("facts"), "concept").limit(limit)
+    """concept, facts, tickers (the set, sorted, as text), sample (the value of the first fact by fact_id) of the most frequent concepts."""
+    per = facts.groupBy("concept", "ticker").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("fact_id", "value_num")).alias("v"))
+    ranked = per.groupBy("concept").agg(F.sum("n").alias("facts"), F.array_sort(F.collect_set("ticker")).alias("tickers"), F.min("v")["value_num"].alias("sample"))
+    return ranked.withColumn("tickers", F.concat_ws(",", c("tickers").cast("array<string>"))).orderBy(F.desc("facts"), "concept").limit(limit)
 
 
 def latest_by_ticker(facts: DataFrame, tie: str = "fact_id") -> DataFrame:

@@ -117,6 +117,15 @@ def trading_stats(portfolio: DataFrame, values: DataFrame, symbol: str, initial:
     return row.unionByName(start.join(row.select("symbol"), "symbol", "left_anti"))
 
 
+def trading_history(portfolio: DataFrame, symbol: str | None = None, limit: int = 50) -> DataFrame:
+    """symbol, place, action, price: the different trades of each log in the order in which they were first seen, at most 500; without
+    a trade there is no row."""
+    logged = _of(portfolio, symbol).where(c("trade_log") != "")
+    trades = logged.select("symbol", F.posexplode(F.array_distinct(F.split("trade_log", ";"))).alias("place", "t"))
+    parts = F.split("t", "@", 2)
+    return trades.where(c("place") < min(limit, 500)).select("symbol", "place", parts[0].alias("action"), parts[1].cast("double").alias("price"))
+
+
 def sanitise(rows: DataFrame, digits: int = 6) -> DataFrame:
     """Numbers rounded, null and NaN as 0; columns that begin with `_` are dropped."""
     out = rows.drop(*(x for x in rows.columns if x.startswith("_")))

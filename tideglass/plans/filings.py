@@ -51,6 +51,12 @@ def news_stats(spark, folder):
     return n.groupBy(c("sym").alias("symbol")).agg(F.count(F.lit(1)).alias("count"), F.max("published_at").alias("latest")).orderBy(F.desc("count"), "symbol").limit(20)
 
 
+@query(f"{NEWS} SELECT source, count(*) AS count FROM n WHERE source IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def news_sources_top(spark, folder):
+    n = _news(spark, folder).where(c("source").isNotNull())
+    return n.groupBy("source").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "source").limit(10)
+
+
 @query(f"{NEWS} SELECT news_id, title FROM n WHERE regexp_matches(coalesce(title, ''), '(?i)energy|regulator') OR regexp_matches(coalesce(description, ''), '(?i)energy|regulator') ORDER BY news_id DESC LIMIT 20")
 def news_search(spark, folder):
     hit = lambda x: F.coalesce(c(x), F.lit("")).rlike("(?i)energy|regulator")
@@ -179,7 +185,12 @@ def concept_query(spark, folder):
     return fl.concept_query(_facts(spark, folder).where(c("ticker") == 7), "economy", strict=True).select("fact_id", "concept", "ticker", "value_num")
 
 
-@query(f"{FACTS} SELECT concept, CAST(count(*) AS BIGINT) AS facts, count(DISTINCT ticker) AS tickers, min(value_num) AS sample FROM facts GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
+@query(f"{FACTS} SELECT fact_id, concept, ticker, value_num FROM facts WHERE regexp_matches(concept, '(?i)standard') AND ticker = 3 AND value_num <> 0 ORDER BY value_num DESC, fact_id LIMIT 10")
+def query_assets(spark, folder):
+    return fl.concept_query(_facts(spark, folder).where(c("ticker") == 3), "standard").select("fact_id", "concept", "ticker", "value_num")
+
+
+@query(f"{FACTS} SELECT concept, CAST(count(*) AS BIGINT) AS facts, string_agg(DISTINCT ticker, ',' ORDER BY ticker) AS tickers, arg_min(value_num, fact_id) AS sample FROM facts GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
 def common_concepts(spark, folder):
     return fl.common_concepts(_facts(spark, folder))
 
@@ -274,6 +285,21 @@ def chunk_documents(spark, folder):
     return tr.chunk_documents(docs, "doc_id", "text")
 
 
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_date AS date, upper(d.ticker) AS ticker, CAST(year_no AS INTEGER) AS year, CAST(quarter_no AS INTEGER) AS quarter, 1 AS chunk_index, lpad(cik, 10, '0') AS cik, coalesce(doc_type, 'transcript') AS doc_type,
+  d.ticker || '_' || year_no || '_Q' || quarter_no || '.json' AS source_file, trim(text) AS chunk FROM documents AS d JOIN cik_map AS m ON m.ticker = d.ticker
+WHERE regexp_full_match(doc_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(doc_date AS DATE) IS NOT NULL AND year_no IS NOT NULL AND quarter_no IS NOT NULL AND cik IS NOT NULL""")
+def chunk_record_fields(spark, folder):
+    """The records of whole texts as their own first chunk, with all their fields."""
+    docs = table(spark, folder, "documents").join(table(spark, folder, "cik_map").select("ticker", "cik"), "ticker")
+    rows = docs.select(c("doc_date").alias("date"), "ticker", c("year_no").alias("year"), c("quarter_no").alias("quarter"), "cik", "doc_id", "doc_type", F.lit(1).alias("chunk_index"), c("text").alias("chunk"))
+    return tr.chunk_records(rows).select("metadata.*", "chunk")
+
+
+@query("SELECT len(embedding) AS dimension, count(*) AS vectors FROM embeddings GROUP BY 1")
+def embedding_dimension(spark, folder):
+    return table(spark, folder, "embeddings").groupBy(F.size("embedding").cast("bigint").alias("dimension")).agg(F.count(F.lit(1)).alias("vectors"))
+
+
 @query("SELECT doc_id, 'date' AS field, doc_date AS value FROM documents WHERE ticker IS NOT NULL AND doc_date IS NOT NULL AND regexp_full_match(doc_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND year_no IS NOT NULL AND quarter_no IS NOT NULL AND ticker IN (SELECT ticker FROM cik_map)")
 def chunk_records(spark, folder):
     """The records of whole texts as their own first chunk; their dates are compared."""

@@ -415,11 +415,19 @@ def trading_all_latest(spark, folder):
     return p.select("symbol", *(F.round(x, 2).alias(x) for x in ("current_price", "portfolio_value", "pnl")), "total_trades")
 
 
-@query(_portfolio_sql() + " SELECT DISTINCT symbol, split_part(t, '@', 1) AS action, CAST(split_part(t, '@', 2) AS DOUBLE) AS price FROM (SELECT symbol, unnest(logs[-10:]) AS t FROM portfolio)")
+@query(_portfolio_sql() + " SELECT symbol, CAST(row_number() OVER (PARTITION BY symbol ORDER BY seen) - 1 AS INTEGER) AS place, split_part(t, '@', 1) AS action, CAST(split_part(t, '@', 2) AS DOUBLE) AS price FROM (SELECT symbol, t, min(i) AS seen FROM (SELECT symbol, unnest(logs[-10:]) AS t, generate_subscripts(logs[-10:], 1) AS i FROM portfolio) GROUP BY 1, 2)")
 def trading_history(spark, folder):
-    p = m.portfolio(m.daily_bars(_ticks(spark, folder))).where(c("trade_log") != "")
-    parts = F.split(c("t"), "@", 2)
-    return p.select("symbol", F.explode(F.split("trade_log", ";")).alias("t")).distinct().select("symbol", parts[0].alias("action"), parts[1].cast("double").alias("price"))
+    return sv.trading_history(m.portfolio(m.daily_bars(_ticks(spark, folder))))
+
+
+@query(f"WITH {BARS} SELECT symbol, max(start) AS timestamp FROM bars GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100")
+def serve_features(spark, folder):
+    return sv.features(_serving(spark, folder)[1]).select("symbol", "timestamp")
+
+
+@query(f"WITH {LAST} SELECT sym AS symbol, price, change FROM last WHERE sym = 'WIFUQ'")
+def serve_symbol(spark, folder):
+    return sv.symbol_row(m.changes(_ticks(spark, folder)), "wifuq").select("symbol", "price", "change")
 
 
 @query(f"""WITH {BARS}, r AS (SELECT symbol, (close - lag(close) OVER w) / lag(close) OVER w AS r FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY start)), z AS (SELECT symbol, avg(r) AS m, stddev_pop(r) AS s, count(r) AS n FROM r GROUP BY 1)

@@ -43,6 +43,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     The table is compressed columnar data, smaller than an RDD checkpoint, and outlives the loss of any executor."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tideglass/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _tables(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tideglass/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the tables that this application's `materialise` has written: for when no result is read any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -112,3 +112,27 @@ def test_nearest_vectors_in_small_blocks(spark):
         best = sorted((j for j in range(60) if j != i), key=lambda j: (-round(s[j], 12), j))[:4]
         assert [got[i, k + 1][0] for k in range(4)] == best
     assert all(k[0] < 60 for k in got)
+
+
+def test_records_of_a_page(spark):
+    html = """<table><tr><th><b>Table I - Non-Derivative Securities Acquired, Disposed of, or Beneficially Owned</b></th></tr>
+<tr><th>1. Title of Security</th><th>2. Transaction Date (Month/Day/Year)</th><th>2A.</th><th>3.</th><th></th><th>4.</th><th></th><th></th><th>5.</th><th>6.</th><th>7.</th></tr>
+<tr><td>Common Stock<sup>(3)</sup></td><td>10/01/2025</td><td></td><td>F</td><td></td><td>45,278</td><td>D</td><td>$255.45<sup>(5)</sup></td><td>226,283</td><td>D</td><td></td></tr>
+<tr><td>Common Stock</td><td>10/01/2025</td><td></td><td>M</td><td></td><td>92,403</td><td>A</td><td><sup>(1)(2)</sup></td><td>271,561</td><td>D</td><td></td></tr></table>
+<table><tr><th><b>Table II - Derivative Securities</b></th></tr>
+<tr><td>Restricted Stock Unit</td><td>(1)(2)</td><td>10/01/2025</td><td></td><td>M</td><td></td><td></td><td>92,403</td><td>(9)</td><td>(9)</td><td>Common Stock</td><td>92,403</td><td></td><td>0</td><td>D</td><td></td></tr></table>
+<table><tr><td><b>Explanation of Responses:</b></td></tr><tr><td>1. Each unit is one share.</td></tr><tr><td>4. Made pursuant to a Rule 10b5-1 plan.</td></tr></table>"""
+    rows = {r.k: r for r in fl.form4_records(spark.createDataFrame([(1, html), (2, None), (3, ""), (4, "<p>no table")], "k int, html string"), "k", "html").collect()}
+    r = rows[1]
+    assert [(t.security_title, t.transaction_date, t.transaction_code, t.shares_traded, t.acquisition_or_disposition, t.price_per_share, t.shares_owned_after) for t in r.transactions] == [
+        ("Common Stock", "10/01/2025", "F", 45278, "D", 255.45, 226283), ("Common Stock", "10/01/2025", "M", 92403, "A", None, 271561)]
+    d = r.derivative_transactions[0]
+    assert (d.title, d.conversion_price, d.acquired, d.disposed, d.date_exercisable, d.underlying_amount, d.beneficially_owned_after, d.ownership_form) == ("Restricted Stock Unit", None, None, 92403, None, 92403, 0, "D")
+    assert r.footnotes == ["Each unit is one share.", "Made pursuant to a Rule 10b5-1 plan."]
+    assert rows[2].transactions is None and rows[3].transactions is None and rows[4].transactions == []
+
+
+def test_first_object(spark):
+    texts = ["```json\n{\"a\": \"}{\\\"\", \"b\": {\"c\": 1}}\n``` and {\"d\": 2}", "no object", "{broken", "{bad}", None]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(fl.first_object(F.col("t"))).collect()]
+    assert got == ['{"a": "}{\\"", "b": {"c": 1}}', None, None, None, None]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
@@ -171,6 +172,114 @@ def form4_sections(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, html).mapInPandas(run, f"`{key}` {pages.schema[key].dataType.simpleString()}, sections string")
 
 
+# The columns of a Form 4's two tables, by the form's own order; None is a column that isn't kept.
+TABLE_I = ("security_title", "transaction_date", None, "transaction_code", None, "shares_traded", "acquisition_or_disposition", "price_per_share", "shares_owned_after", "ownership_type", None)
+TABLE_II = (
+    "title", "conversion_price", "transaction_date", None, "transaction_code", None, "acquired", "disposed", "date_exercisable", "expiration_date", "underlying_title", "underlying_amount", "price",
+    "beneficially_owned_after", "ownership_form", "nature_of_indirect",
+)
+_WHOLE = {"shares_traded", "shares_owned_after", "acquired", "disposed", "underlying_amount", "beneficially_owned_after"}
+_DECIMAL = {"price_per_share", "conversion_price", "price"}
+_kinds = lambda names: ", ".join(f"{x}:{'bigint' if x in _WHOLE else 'double' if x in _DECIMAL else 'string'}" for x in names if x)
+FORM4_PAGE = f"transactions array<struct<{_kinds(TABLE_I)}>>, derivative_transactions array<struct<{_kinds(TABLE_II)}>>, footnotes array<string>"
+_NOTE = re.compile(r"\(\d{1,3}\)")
+_NUMBERED = re.compile(r"^\d{1,3}\s*[.\\]")
+
+
+class _Rows(HTMLParser):
+    """The rows of each innermost table as cells' texts; what is in bold within a table tells what the table is."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.tables: list[list[list[list[str]]]] = []
+        self.headings: list[list[str]] = []
+        self.open: list[int] = []
+        self.bold = False
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "table":
+            self.tables.append([])
+            self.headings.append([])
+            self.open.append(len(self.tables) - 1)
+        elif tag == "tr" and self.open:
+            self.tables[self.open[-1]].append([])
+        elif tag in ("td", "th") and self.open:
+            rows = self.tables[self.open[-1]]
+            if not rows:
+                rows.append([])
+            rows[-1].append([])
+        elif tag == "b":
+            self.bold = True
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "table" and self.open:
+            self.open.pop()
+        elif tag == "b":
+            self.bold = False
+
+    def handle_data(self, data: str) -> None:
+        if not self.open:
+            return
+        at = self.open[-1]
+        if self.bold:
+            self.headings[at].append(data)
+        if self.tables[at] and self.tables[at][-1]:
+            self.tables[at][-1][-1].append(data)
+
+    def heading(self, at: int) -> str:
+        return " ".join("".join(self.headings[at]).split())
+
+    def rows(self, at: int) -> list[list[str]]:
+        return [[" ".join("".join(cell).split()) for cell in row] for row in self.tables[at]]
+
+
+def _cell(name: str, text: str):
+    """A cell's value without the marks of footnotes; null where nothing, or no number, is left."""
+    bare = _NOTE.sub("", text).strip()
+    if name in _WHOLE or name in _DECIMAL:
+        number = _number(bare, ",$")
+        return None if number is None else int(number) if name in _WHOLE else number
+    return bare or None
+
+
+def _table_rows(rows: list[list[str]], columns: tuple[str | None, ...]) -> list[dict]:
+    """Rows of as many cells as the form has columns, but for those of the head: they have no date where the date stands."""
+    date = columns.index("transaction_date")
+    full = [r for r in rows if len(r) == len(columns) and r[0] and not r[date].startswith(("2.", "3.")) and "Transaction Date" not in r[date]]
+    return [{c_: _cell(c_, x) for c_, x in zip(columns, r, strict=True) if c_} for r in full]
+
+
+def page_record(html: str | None) -> dict | None:
+    """The transactions, derivative transactions and footnotes of a Form 4 page; null for a null or empty page."""
+    if not html:
+        return None
+    page = _Rows()
+    page.feed(html)
+    page.close()
+    out: dict = {"transactions": [], "derivative_transactions": [], "footnotes": []}
+    for at in range(len(page.tables)):
+        heading = page.heading(at)
+        if heading.startswith("Table II"):
+            out["derivative_transactions"] += _table_rows(page.rows(at), TABLE_II)
+        elif heading.startswith("Table I"):
+            out["transactions"] += _table_rows(page.rows(at), TABLE_I)
+        elif heading.startswith("Explanation of Responses"):
+            out["footnotes"] += [_NUMBERED.sub("", x).strip() for r in page.rows(at) for x in r if _NUMBERED.match(x)]
+    return out
+
+
+def form4_records(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """key, transactions, derivative_transactions, footnotes of each page, read from its tables; null for null and empty pages."""
+    names = ("transactions", "derivative_transactions", "footnotes")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            read = [page_record(x) or {} for x in part[html]]
+            yield pd.DataFrame({key: part[key], **{n: pd.Series([r.get(n) for r in read], dtype=object, index=part.index) for n in names}})
+
+    return pages.select(key, html).mapInPandas(run, f"`{key}` {pages.schema[key].dataType.simpleString()}, {FORM4_PAGE}")
+
+
 _XBRLI = "{http://www.xbrl.org/2003/instance}"
 _DIMENSION = "{http://xbrl.org/2006/xbrldi}explicitMember"
 _LINK, _XLINK = "{http://www.xbrl.org/2003/linkbase}", "{http://www.w3.org/1999/xlink}"

@@ -123,6 +123,27 @@ def form4_sections(spark, folder):
     return fl.form4_sections(table(spark, folder, "documents").select("doc_id", page.alias("html")), "doc_id", "html")
 
 
+@query(f"""{FORM4}, t AS (SELECT source_file, unnest(transactions) AS t FROM f WHERE len(transactions) > 0)
+SELECT source_file, nullif(trim(t.security_title), '') AS security_title, nullif(trim(t.transaction_date), '') AS transaction_date, t.transaction_code AS transaction_code, t.shares_traded AS shares_traded, t.acquisition_or_disposition AS acquisition_or_disposition,
+  t.price_per_share AS price_per_share, t.shares_owned_after AS shares_owned_after, t.ownership_type AS ownership_type FROM t WHERE t IS NOT NULL AND t.security_title IS NOT NULL""")
+def form4_pages(spark, folder):
+    """The transactions of each filing, written as a page's Table I with marks of footnotes, and read back from the page."""
+    escaped = lambda x: F.replace(F.replace(F.coalesce(x, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    cell = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
+    empty = F.lit("<td></td>")
+
+    def row(t):
+        count = lambda x: F.coalesce(F.format_number(x, 0), F.lit(""))
+        price = F.coalesce(F.concat(F.lit("$"), t["price_per_share"].cast("string"), F.lit("<sup>(2)</sup>")), F.lit("<sup>(1)</sup>"))
+        cells = (cell(escaped(t["security_title"])), cell(escaped(t["transaction_date"])), empty, cell(escaped(t["transaction_code"])), empty, cell(count(t["shares_traded"])), cell(escaped(t["acquisition_or_disposition"])), cell(price), cell(count(t["shares_owned_after"])), cell(escaped(t["ownership_type"])), empty)
+        return F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
+
+    head = "<table><thead><tr><th colspan=11><b>Table I - Non-Derivative Securities</b></th></tr><tr><th>1. Title of Security</th><th>2. Transaction Date (Month/Day/Year)</th></tr></thead><tbody>"
+    rows = F.array_join(F.transform(F.filter("transactions", lambda t: t.isNotNull()), row), "")
+    pages = _form4(spark, folder).select("source_file", F.concat(F.lit(head), F.coalesce(rows, F.lit("")), F.lit("</tbody></table>")).alias("html"))
+    return fl.form4_records(pages, "source_file", "html").select("source_file", F.explode("transactions").alias("t")).select("source_file", "t.*")
+
+
 @query(f"""{FORM4}, t AS (SELECT unnest(transactions) AS t FROM f WHERE len(transactions) > 0), d AS (SELECT DISTINCT t.transaction_date AS raw FROM t WHERE t.transaction_date IS NOT NULL)
 SELECT raw, CASE WHEN regexp_full_match(raw, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') AND try_strptime(raw, '%m/%d/%Y') IS NOT NULL THEN strftime(try_strptime(raw, '%m/%d/%Y'), '%Y-%m-%d') ELSE raw END AS plain FROM d""")
 def date_normalise(spark, folder):

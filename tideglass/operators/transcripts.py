@@ -90,6 +90,14 @@ def chunk_documents(documents: DataFrame, key: str, text: str, oracle: Oracle =
     return documents.select(key, text).mapInPandas(run, f"`{key}` {documents.schema[key].dataType.simpleString()}, chunk_index int, chunk string")
 
 
+#: White space of any kind, for Java and RE2.
+BLANKS = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
+
+
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, f"^{BLANKS}+|{BLANKS}+$", "")
+
+
 def chunk_records(chunks: DataFrame) -> DataFrame:
     """metadata and chunk from chunks with date, ticker, year, quarter, cik, doc_id, doc_type (transcript if absent), chunk_index.
 
@@ -100,7 +108,7 @@ def chunk_records(chunks: DataFrame) -> DataFrame:
         good = good & c(x).isNotNull()
     name = F.concat(c("ticker"), F.lit("_"), c("year"), F.lit("_Q"), c("quarter"), F.lit(".json"))
     meta = F.struct(c("date"), F.upper("ticker").alias("ticker"), c("year").cast("int").alias("year"), c("quarter").cast("int").alias("quarter"), c("chunk_index"), pad_cik(c("cik")).alias("cik"), c("doc_id").cast("string").alias("doc_id"), F.coalesce("doc_type", F.lit("transcript")).alias("doc_type"), name.alias("source_file"))
-    return chunks.where(good).select(meta.alias("metadata"), F.trim("chunk").alias("chunk"))
+    return chunks.where(good).select(meta.alias("metadata"), strip(c("chunk")).alias("chunk"))
 
 
 def chunk_problem(metadata: Column, chunk: Column, embedding: Column) -> Column:

@@ -306,8 +306,8 @@ def chunk_documents(spark, folder):
     return tr.chunk_documents(docs, "doc_id", "text")
 
 
-@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_date AS date, upper(d.ticker) AS ticker, CAST(year_no AS INTEGER) AS year, CAST(quarter_no AS INTEGER) AS quarter, 1 AS chunk_index, lpad(cik, 10, '0') AS cik, coalesce(doc_type, 'transcript') AS doc_type,
-  d.ticker || '_' || year_no || '_Q' || quarter_no || '.json' AS source_file, trim(text) AS chunk FROM documents AS d JOIN cik_map AS m ON m.ticker = d.ticker
+@query(r"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_date AS date, upper(d.ticker) AS ticker, CAST(year_no AS INTEGER) AS year, CAST(quarter_no AS INTEGER) AS quarter, 1 AS chunk_index, lpad(cik, 10, '0') AS cik, coalesce(doc_type, 'transcript') AS doc_type,
+  d.ticker || '_' || year_no || '_Q' || quarter_no || '.json' AS source_file, regexp_replace(text, '^[\t-\r\x1c-\x20\x{85}\p{Z}]+|[\t-\r\x1c-\x20\x{85}\p{Z}]+$', '', 'g') AS chunk FROM documents AS d JOIN cik_map AS m ON m.ticker = d.ticker
 WHERE regexp_full_match(doc_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(doc_date AS DATE) IS NOT NULL AND year_no IS NOT NULL AND quarter_no IS NOT NULL AND cik IS NOT NULL""")
 def chunk_record_fields(spark, folder):
     """The records of whole texts as their own first chunk, with all their fields."""

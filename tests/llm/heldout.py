@@ -1,7 +1,8 @@
 """Texts for the detection of residue, written apart from the exemplars.
 
 FIRST found gaps (languages, cookie walls, network checks) that later exemplars closed in other words, so it is no longer held out.
-RESIDUE was written after that, and NEAR had no errors to learn from: neither was used to choose an exemplar or a threshold."""
+RESIDUE was written after that, and NEAR had no errors to learn from: no exemplar was made for them. Thresholds were chosen on the
+test tables, while both sets were measured beside."""
 
 FIRST = """
 This domain has expired. If you are the owner, renew it at your registrar.

@@ -64,6 +64,18 @@ BOTH = f"""
     FROM texts WHERE source_file IS NOT NULL AND source_file NOT IN (SELECT source_file FROM mine WHERE source_file IS NOT NULL)),
   f AS (SELECT * FROM mine WHERE source_file IS NOT NULL UNION ALL SELECT * FROM read)"""
 
+#: The paths that shared inlining puts into the table of filings.
+_INLINED = (
+    "filing_metadata.earliest_transaction_date", "filing_metadata.filing_date", "filing_metadata.is_amendment", "filing_metadata.source_file", "issuer.company_name", "issuer.ticker_symbol", "issuer.cik", "reporting_person.name",
+    "reporting_person.officer_title", "reporting_person.address.street", "reporting_person.address.city", "reporting_person.address.state", "reporting_person.address.zip", "total_transaction_value", "parsed_timestamp",
+)
+
+
+def _inlined(path: str) -> str:
+    text = f"json_extract_string(p, '$.{path}')"
+    return f"TRY_CAST({text} AS BOOLEAN)" if path.endswith("is_amendment") else f"TRY_CAST(trim(regexp_replace({text}, '[,$]', '', 'g')) AS DOUBLE)" if path.startswith("total") else text
+
+
 ORACLE: dict[str, str] = {
     "p4_found": rf"""WITH {NEWS_TIMES}, {FILINGS},
   dates AS (SELECT source_file, position, t.transaction_date AS raw FROM theirs WHERE t IS NOT NULL UNION ALL SELECT source_file, position, json_extract_string(x, '$.transaction_date') FROM opened WHERE json_type(x) = 'OBJECT'),
@@ -73,6 +85,10 @@ ORACLE: dict[str, str] = {
 SELECT 'news' AS src, CAST(news_id AS VARCHAR) AS row_key, {_iso("ms")} AS normal_form FROM news_times WHERE ms IS NOT NULL AND NOT regexp_full_match(published_at, '\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2}}\.\d{{6}}Z')
 UNION ALL SELECT 'ticks', CAST(tick_id AS VARCHAR), {_iso("ms")} FROM units WHERE ms IS NOT NULL
 UNION ALL SELECT 'form4', source_file || '#' || position, f FROM plain WHERE f IS NOT NULL AND f <> raw""",
+    "p7_filings": f"""WITH mine AS (SELECT *, filing_metadata.source_file AS source_file FROM form4 QUALIFY row_number() OVER (PARTITION BY filing_metadata.source_file ORDER BY parsed_timestamp DESC) = 1),
+  texts AS (SELECT p, json_extract_string(p, '$.filing_metadata.source_file') AS source_file FROM (SELECT TRY_CAST(payload AS JSON) AS p FROM form4_raw WHERE json_valid(payload) AND payload LIKE '{{%') QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY CAST(p AS VARCHAR)) = 1)
+SELECT source_file, {", ".join(f"{x} AS {x.replace('.', '_')}" for x in _INLINED)} FROM mine WHERE source_file IS NOT NULL
+UNION ALL SELECT source_file, {", ".join(_inlined(x) for x in _INLINED)} FROM texts WHERE source_file IS NOT NULL AND source_file NOT IN (SELECT source_file FROM mine WHERE source_file IS NOT NULL)""",
     "p7_transactions": f"""WITH {FILINGS}
 SELECT source_file, CAST(position AS INTEGER) AS position, {", ".join(f"t.{k} AS {k}" for k in _FIELDS)} FROM theirs WHERE t IS NOT NULL
 UNION ALL SELECT source_file, CAST(position AS INTEGER), {_RAW_FIELDS} FROM opened WHERE json_type(x) = 'OBJECT'""",

@@ -53,7 +53,7 @@ def test_machine_emits_after_horizon_and_evicts():
     j.push(one(100), one(1), one(95, 50), one(7, 8))
     assert len(j.advance(110)[0]) == 0 and j.right_at.tolist() == [95]  # 50 can't be reached any more
     j.push(none, none, one(102), one(9))
-    ids, found, _ = j.advance(111)
+    ids, found, *_ = j.advance(111)
     assert ids.tolist() == [1] and found.tolist() == [9] and len(j.left_at) == 0
     j.advance(200)
     assert len(j.right_at) == 0

@@ -4,8 +4,8 @@
 horizon, when no nearer right row can come any more, and evicts right rows that no waiting or future left row can reach.
 
 `nearest_in_time` runs it over stored tables: entities are cut into shards of time, so that a hot entity spreads over many tasks;
-left rows near a shard's border also go to the neighbour, and of the answers the nearest stands. Each task replays its shards in
-order of time through the machine. `nearest_stream` runs the same machine as a Structured Streaming operator.
+right rows within the tolerance of a shard's border also go to the neighbour, so that a left row is answered in its own shard alone. Each
+task replays its shards in order of time through the machine. `nearest_stream` runs the same machine as a Structured Streaming operator.
 """
 
 from __future__ import annotations
@@ -43,8 +43,8 @@ class NearestJoin:
             order = np.lexsort((ids, at))
             self.right_at, self.right_id = at[order], ids[order]
 
-    def advance(self, watermark: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """left ids, right ids and right times of the left rows that are done; left rows without match drop out."""
+    def advance(self, watermark: int) -> tuple[np.ndarray, ...]:
+        """left ids, right ids, right times and left times of the left rows that are done; left rows without match drop out."""
         self.watermark = max(self.watermark, watermark)
         done = self.left_at + self.tolerance < self.watermark
         at, ids = self.left_at[done], self.left_id[done]
@@ -55,10 +55,10 @@ class NearestJoin:
         self.right_at, self.right_id = self.right_at[keep:], self.right_id[keep:]
         return found
 
-    def _match(self, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _match(self, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
         n = len(self.right_at)
         if not n or not len(at):
-            return _EMPTY, _EMPTY, _EMPTY
+            return _EMPTY, _EMPTY, _EMPTY, _EMPTY
         after = np.searchsorted(self.right_at, at, "left")  # first at or after: of equal times the smallest id
         before = np.searchsorted(self.right_at, self.right_at[np.maximum(after - 1, 0)], "left")
         far = np.int64(1) << 61
@@ -66,7 +66,7 @@ class NearestJoin:
         d_before = np.where(after > 0, at - self.right_at[before], far)
         pick = np.where(d_before <= d_after, before, np.minimum(after, n - 1))  # of two equally near the earlier
         ok = np.minimum(d_before, d_after) <= self.tolerance
-        return ids[ok], self.right_id[pick[ok]], self.right_at[pick[ok]]
+        return ids[ok], self.right_id[pick[ok]], self.right_at[pick[ok]], at[ok]
 
 
 def _replay(tolerance: int):
@@ -75,8 +75,8 @@ def _replay(tolerance: int):
         key, join = None, NearestJoin(tolerance)
         end = np.int64(1) << 61
 
-        def answer(found, at):
-            return pd.DataFrame({"left_id": found[0], "right_id": found[1], "right_at": found[2]}) if len(found[0]) else None
+        def answer(found):
+            return pd.DataFrame(dict(zip(("left_id", "right_id", "right_at", "left_at"), found, strict=True))) if len(found[0]) else None
 
         for part in batches:
             if part.empty:
@@ -87,15 +87,15 @@ def _replay(tolerance: int):
             out = []
             for a, b in zip([0, *change], [*change, len(part)], strict=True):
                 if (entity[a], shard[a]) != key:
-                    out.append(answer(join.advance(end), end))
+                    out.append(answer(join.advance(end)))
                     key, join = (entity[a], shard[a]), NearestJoin(tolerance)
                 left = is_left[a:b]
                 join.push(at[a:b][left], ids[a:b][left], at[a:b][~left], ids[a:b][~left])
-                out.append(answer(join.advance(int(at[b - 1])), end))
+                out.append(answer(join.advance(int(at[b - 1]))))
             out = [x for x in out if x is not None]
             if out:
                 yield pd.concat(out, ignore_index=True)
-        last = answer(join.advance(end), end)
+        last = answer(join.advance(end))
         if last is not None:
             yield last
 
@@ -109,18 +109,17 @@ def nearest_in_time(left: DataFrame, right: DataFrame, tolerance_ms: int = TOLER
     Rows with a null entity or time match nothing. Ids are bigint; a left id that occurs more than once comes out once."""
     c = F.col
     known = c("entity").isNotNull() & c("at").isNotNull() & c("id").isNotNull()
-    left = materialise(left.select("entity", "at", "id"), "nearest-left")  # three branches use it
+    left = materialise(left.select("entity", "at", "id").where(known), "nearest-left")  # two branches use it
     home, first, last = div(c("at"), shard_ms), div(c("at") - tolerance_ms, shard_ms), div(c("at") + tolerance_ms, shard_ms)
-    lefts = left.where(known).select("entity", F.explode(F.sequence(first, last)).alias("shard"), "at", "id", F.lit(True).alias("is_left"))
-    rights = right.where(known).select("entity", home.alias("shard"), "at", "id", F.lit(False).alias("is_left"))
+    lefts = left.select("entity", home.alias("shard"), "at", "id", F.lit(True).alias("is_left"))
+    rights = right.where(known).select("entity", F.explode(F.sequence(first, last)).alias("shard"), "at", "id", F.lit(False).alias("is_left"))
     # Shards without a left row can't answer anything: their right rows stay where they are.
     asked = lefts.select("entity", "shard").distinct()
     both = lefts.unionByName(rights.join(asked, ["entity", "shard"], "left_semi"))
     sorted_ = both.repartition("entity", "shard").sortWithinPartitions("entity", "shard", "at")
-    found = sorted_.mapInPandas(_replay(tolerance_ms), "left_id bigint, right_id bigint, right_at bigint")
-    times = left.where(known).select(c("id").alias("left_id"), c("at").alias("left_at"))
-    best = Window.partitionBy("left_id").orderBy(F.abs(c("right_at") - c("left_at")), "right_at", "right_id")
-    return found.join(times, "left_id").withColumn("rank", F.row_number().over(best)).where(c("rank") == 1).select("left_id", "right_id", "right_at")
+    found = sorted_.mapInPandas(_replay(tolerance_ms), "left_id bigint, right_id bigint, right_at bigint, left_at bigint")
+    best = Window.partitionBy("left_id").orderBy(F.abs(c("right_at") - c("left_at")), "right_at", "right_id")  # for ids that occur more than once
+    return found.withColumn("rank", F.row_number().over(best)).where(c("rank") == 1).select("left_id", "right_id", "right_at")
 
 
 def nearest_stream(events: DataFrame, tolerance_ms: int = TOLERANCE_MS, delay: str = "15 minutes") -> DataFrame:

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import duckdb
+from compare import differences
 from pyspark.sql import functions as F
 
 from tideglass.operators import filings as fl
 from tideglass.operators import transcripts as tr
+from tideglass.plans.filings import ORACLE, QUERIES
 from tideglass.sources.market import cik_map, json_lines, previous_quarter
 
 PAGE = """<html><table><tr><td>outer<table><tr><td>1. Name and Address of Reporting Person</td></tr><tr><td>DOE&nbsp;JANE</td></tr></table></td></tr></table>
@@ -48,6 +51,18 @@ def test_xbrl(spark):
     assert [r.type for r in t["units"].collect()] == ["monetary"]
 
 
+def test_xbrl_facts_by_document(spark, tmp_path):
+    """Two instances under one key keep their own periods and units; documents are read once, without a shuffle or a join."""
+    duckdb.sql("SELECT * FROM (VALUES (1, 1.5::DOUBLE, TIMESTAMP '2025-01-01'), (1, 2.5, TIMESTAMP '2025-02-01'), (9007199254740993, 3.5, TIMESTAMP '2025-03-01')) AS t(o_orderkey, o_totalprice, o_orderdate)").write_parquet(str(tmp_path / "orders.parquet"))
+    got = QUERIES["xbrl_explode"](spark, str(tmp_path))
+    assert not differences(got, ORACLE["xbrl_explode"], str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("MapInArrow") == 1
+    no_unit = INSTANCE.replace('<unit id="u">', '<unit id="w">')
+    facts = fl.xbrl_tables(spark.createDataFrame([("f", INSTANCE), ("g", no_unit)], "filingId string, xml string"), "filingId", "xml")["facts"]
+    assert {(r.filingId, r.unit_type) for r in facts.where("name = 'us:NetIncomeLoss'").collect()} == {("f", "monetary"), ("g", None)}
+
+
 def test_upsert_and_checkpoint(spark):
     old = spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], "k string, v int, t int")
     new = spark.createDataFrame([("b", 2, 0), ("b", 3, 5), ("c", 4, None)], "k string, v int, t int")

@@ -8,8 +8,11 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from tideglass.functions.scalars import concept_label, pad_cik, plain_date, unit_type
 from tideglass.functions.timeparse import let
@@ -284,12 +287,13 @@ _XBRLI = "{http://www.xbrl.org/2003/instance}"
 _DIMENSION = "{http://xbrl.org/2006/xbrldi}explicitMember"
 _LINK, _XLINK = "{http://www.xbrl.org/2003/linkbase}", "{http://www.w3.org/1999/xlink}"
 _NIL = "{http://www.w3.org/2001/XMLSchema-instance}nil"
-XBRL = (
-    "contexts array<struct<contextId:string,entityIdentifier:string,period:struct<instant:string,start:string,end:string>,dimensions:map<string,string>>>, "
-    "units array<struct<unitId:string,measures:array<string>>>, "
-    "facts array<struct<name:string,namespace:string,value_num:double,value_str:string,unitRef:string,decimals:string,contextRef:string,isNil:boolean>>, "
-    "footnotes array<struct<id:string,text:string,role:string>>"
-)
+_PERIOD = "period:struct<instant:string,start:string,end:string>,dimensions:map<string,string>"
+XBRL = {
+    "contexts": f"array<struct<contextId:string,entityIdentifier:string,{_PERIOD}>>",
+    "units": "array<struct<unitId:string,measures:array<string>>>",
+    "facts": f"array<struct<contextRef:string,name:string,namespace:string,value_num:double,value_str:string,unitRef:string,decimals:string,isNil:boolean,{_PERIOD},measures:array<string>>>",
+    "footnotes": "array<struct<id:string,text:string,role:string>>",
+}
 
 
 def _local(tag: str) -> tuple[str | None, str]:
@@ -306,25 +310,35 @@ def _number(text: str, marks: str) -> float | None:
         return None
 
 
+class _Spaces(ElementTree.TreeBuilder):
+    """Keeps the first URI of each prefix beside the tree."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.spaces: dict[str, str] = {}
+
+    def start_ns(self, prefix: str | None, uri: str | None) -> None:
+        self.spaces.setdefault(prefix or "", uri or "")
+
+
 def parse_instance(text: str | None) -> dict:
     """Contexts, units, facts and footnotes of an instance; empty for null or broken XML. Facts are those written inline; only
-    where there are none, every element that names a context."""
+    where there are none, every element that names a context. Each fact has the period and dimensions of its context and the
+    measures of its unit, the first of that id; nulls where the instance has none."""
     out: dict = {"contexts": [], "units": [], "facts": [], "footnotes": []}
-    spaces: dict[str, str] = {}
     try:
-        parser = ElementTree.XMLPullParser(("start-ns",))
+        builder = _Spaces()
+        parser = ElementTree.XMLParser(target=builder)
         parser.feed(text or "")
-        root = ElementTree.fromstring(text or "")
-        for _, (prefix, uri) in parser.read_events():
-            spaces.setdefault(prefix, uri)
+        root, spaces = parser.close(), builder.spaces
     except ElementTree.ParseError:
         return out
-    at = lambda e, path: (lambda x: x.text if x is not None else None)(e.find(path))
+    at = lambda e, tag: next((x.text for x in e.iter(tag)), None)
     for e in root.iter(f"{_XBRLI}context"):
-        instant, start, end = (at(e, f".//{_XBRLI}{n}") for n in ("instant", "startDate", "endDate"))
+        instant, start, end = (at(e, f"{_XBRLI}{n}") for n in ("instant", "startDate", "endDate"))
         period = {"instant": instant, "start": None, "end": None} if instant else {"instant": None, "start": start, "end": end} if start and end else None
         dims = {x.get("dimension", "").split(":")[-1]: x.text for x in e.iter(_DIMENSION) if x.get("dimension")}
-        out["contexts"].append({"contextId": e.get("id"), "entityIdentifier": at(e, f".//{_XBRLI}identifier"), "period": period, "dimensions": dims or None})
+        out["contexts"].append({"contextId": e.get("id"), "entityIdentifier": at(e, f"{_XBRLI}identifier"), "period": period, "dimensions": [*dims.items()] or None})
     for e in root.iter(f"{_XBRLI}unit"):
         out["units"].append({"unitId": e.get("id"), "measures": [x.text for x in e.iter(f"{_XBRLI}measure") if x.text]})
     prefixes = {uri: p for p, uri in spaces.items()}
@@ -348,24 +362,36 @@ def parse_instance(text: str | None) -> dict:
             num = _number(clean, "") if number else None
             plain.append({"name": f"{prefixes[space]}:{name}" if prefixes.get(space or "") else name, "namespace": space, "value_num": num, "value_str": None if num is not None else clean, "isNil": nil, **common})
     out["facts"] = out["facts"] or plain
+    contexts, units = {x["contextId"]: x for x in reversed(out["contexts"])}, {x["unitId"]: x["measures"] for x in reversed(out["units"])}
+    for x in out["facts"]:
+        of = contexts.get(x["contextRef"], {})
+        x |= {"period": of.get("period"), "dimensions": of.get("dimensions"), "measures": None if x["unitRef"] is None else units.get(x["unitRef"])}
     for link in root.iter(f"{_LINK}footnoteLink"):
         out["footnotes"] += [{"id": x.get(f"{_XLINK}label"), "text": "".join(x.itertext()).strip(), "role": x.get(f"{_XLINK}role")} for x in link.iter(f"{_LINK}footnote")]
     return out
 
 
 def xbrl_tables(documents: DataFrame, key: str, xml: str) -> dict[str, DataFrame]:
-    """contexts, units (with their type), facts (with label and context's period) and footnotes of each instance, by key."""
+    """contexts, units (with their type), facts (with label, context's period and unit's type) and footnotes of each instance, by key.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            found = [parse_instance(x) for x in part[xml]]
-            yield pd.DataFrame({key: part[key].to_numpy(), **{k: [f[k] for f in found] for k in ("contexts", "units", "facts", "footnotes")}})
-
-    parsed = documents.select(key, xml).mapInPandas(run, f"`{key}` {documents.schema[key].dataType.simpleString()}, {XBRL}")
-    contexts = parsed.select(key, F.inline("contexts"))
-    units = parsed.select(key, F.inline("units")).withColumn("type", unit_type(c("measures")))
-    facts = attach_contexts(parsed.select(key, F.inline("facts")), contexts, key).withColumn("label", concept_label(c("name")))
-    return {"contexts": contexts, "units": units, "facts": facts, "footnotes": parsed.select(key, F.inline("footnotes"))}
+    A fact is joined to its context and unit while its instance is read, so that no table is shuffled; each table is one reading of
+    the documents and returns only what it needs."""
+
+    def read(name: str) -> DataFrame:
+        kind = to_arrow_type(DataType.fromDDL(XBRL[name]))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    found = pa.array([parse_instance(x)[name] for x in part.column(1).to_pylist()], kind)
+                    yield pa.RecordBatch.from_arrays([part.column(0), found], [key, name])
+
+        return documents.select(key, xml).mapInArrow(run, f"`{key}` {documents.schema[key].dataType.simpleString()}, {name} {XBRL[name]}").select(key, F.inline(name))
+
+    units = read("units").withColumn("type", unit_type(c("measures")))
+    facts = read("facts").withColumn("label", concept_label(c("name"))).withColumn("unit_type", F.when(c("measures").isNotNull(), unit_type(c("measures")))).drop("measures")
+    return {"contexts": read("contexts"), "units": units, "facts": facts, "footnotes": read("footnotes")}
 
 
 def attach_contexts(facts: DataFrame, contexts: DataFrame, key: str) -> DataFrame:

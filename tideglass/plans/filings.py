@@ -259,9 +259,8 @@ def xbrl_explode(spark, folder):
         F.lit('<xbrl xmlns="http://www.xbrl.org/2003/instance" xmlns:co="http://example.org/co"><context id="ctx'), k, F.lit('"><entity><identifier scheme="s">1</identifier></entity><period><instant>'), day,
         F.lit('</instant></period></context><unit id="u"><measure>iso4217:USD</measure></unit><co:OrderTotal contextRef="ctx'), k, F.lit('" unitRef="u" decimals="2">'), c("o_totalprice").cast("string"), F.lit("</co:OrderTotal></xbrl>"),
     )
-    t = fl.xbrl_tables(table(spark, folder, "orders").select("o_orderkey", xml.alias("xml")), "o_orderkey", "xml")
-    units = t["units"].select("o_orderkey", c("unitId").alias("unitRef"), c("type").alias("unit_type"))
-    return t["facts"].join(units, ["o_orderkey", "unitRef"]).select("o_orderkey", "contextRef", "name", "label", "value_num", fl.period_end(c("period")).alias("period_end"), "unit_type")
+    facts = fl.xbrl_tables(table(spark, folder, "orders").select("o_orderkey", xml.alias("xml")), "o_orderkey", "xml")["facts"]
+    return facts.where(c("unit_type").isNotNull()).select("o_orderkey", "contextRef", "name", "label", "value_num", fl.period_end(c("period")).alias("period_end"), "unit_type")
 
 
 @query(f"{FORM4} SELECT source_file, m.ticker, m.cik FROM f JOIN cik_map AS m ON m.ticker = upper(ticker_symbol)")
